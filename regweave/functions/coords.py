@@ -14,17 +14,19 @@ MAPPABLE_LONGITUDE = (-180, -64)
 
 
 def decimal_text(c: Column) -> Column:
-    """Text as a double; digit groups may be joined by single underscores.
+    """Text as a double; digits may be grouped by single underscores.
 
     The pattern keeps out what a JVM parse would let through (``1d``, ``0x1``).
     """
-    joined = F.when(c.contains("_"), F.when(~c.rlike(_STRAY_UNDERSCORE), F.replace(c, F.lit("_"), F.lit("")))).otherwise(c)
-    return F.when(joined.rlike(_NUMBER), joined).try_cast("double")
+    plain = F.when(c.rlike(_NUMBER), c)
+    grouped = F.when(
+        c.contains("_") & ~c.rlike(_STRAY_UNDERSCORE), F.replace(c, F.lit("_"), F.lit(""))
+    )
+    return F.coalesce(plain, F.when(grouped.rlike(_NUMBER), grouped)).try_cast("double")
 
 
-def coordinate(c: Column, low: float = -180.0, high: float = 180.0) -> Column:
+def in_bounds(value: Column, low: float = -180.0, high: float = 180.0) -> Column:
     """A coordinate inside inclusive bounds; zero means missing."""
-    value = decimal_text(c)
     return F.when(value.between(low, high) & (value != 0), value)
 
 

@@ -6,34 +6,41 @@ from pyspark.sql import Column, functions as F
 
 # Two-digit years from 50 on belong to the 1900s. A C-style parser
 # would place 50-68 in the 2000s, so the quality checks report those as adjusted.
-CENTURY_PIVOT = 50
+FIRST_OLD_YEAR = "50"
 ADJUSTED_YEARS = (1950, 1968)
 
 _EDGE_BLANKS = " \t\n\x0b\f\r"
-_ONE_DIGIT_YEAR = r"-([0-9])\z"
 
 
-def _this_century(text: Column) -> Column:
-    return F.try_to_date(text, "d-MMM-yy")
+def bare_date(c: Column) -> Column:
+    """Date text without the whitespace around it."""
+    return F.trim(c, F.lit(_EDGE_BLANKS))
 
 
-def pivot_date(c: Column) -> Column:
+def pivot_date(bare: Column) -> Column:
     """``DD-MON-YY`` text as a date, NULL when it names no real day.
 
-    Spark reads every two-digit year into 2000-2099; the years from the pivot on
-    go back a century (leap years coincide there). The clock is never read.
+    The century is spelled out from the digits before parsing, so the value is
+    parsed once, text of another shape never reaches the parser, and the clock
+    is never read. Day and year may drop their leading zero.
     """
-    bare = F.trim(c, F.lit(_EDGE_BLANKS))
-    padded = F.when(bare.rlike(_ONE_DIGIT_YEAR), F.regexp_replace(bare, _ONE_DIGIT_YEAR, "-0$1"))
-    parsed = F.coalesce(_this_century(bare), _this_century(padded))
-    return F.when(F.year(parsed) < 2000 + CENTURY_PIVOT, parsed).otherwise(F.add_months(parsed, -1200))
+    digits = F.substring_index(bare, "-", -1)
+    lead = F.length(bare) - F.length(digits)
+    year = (
+        F.when(F.length(digits) == 1, F.concat(F.lit("200"), digits))
+        .when(F.length(digits) != 2, None)
+        .when(digits < FIRST_OLD_YEAR, F.concat(F.lit("20"), digits))
+        .otherwise(F.concat(F.lit("19"), digits))
+    )
+    spelled = F.when(lead.isin(6, 7), F.concat(F.substring(bare, F.lit(1), lead), year))
+    return F.try_to_date(spelled, "d-MMM-yyyy")
 
 
 def is_unparseable(c: Column) -> Column:
     """True where text is present but names no date."""
-    return (F.trim(c) != "") & pivot_date(c).isNull()
+    return (F.trim(c) != "") & pivot_date(bare_date(c)).isNull()
 
 
 def is_century_adjusted(c: Column) -> Column:
     """True where the century rule overrode the C-style reading."""
-    return F.year(pivot_date(c)).between(*ADJUSTED_YEARS)
+    return F.year(pivot_date(bare_date(c))).between(*ADJUSTED_YEARS)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The whitespace the text rule folds.
-_BLANKS = "\t\n\f\r"
+# The whitespace the text rule folds.
+_RUNS = r"[ \t\n\f\r]+"
+_FOLDABLE = r"[\t\n\f\r]|  "
 
 # Spellings the all-text CSV scan reads as NULL.
 NULL_TOKENS = (
@@ -14,21 +15,13 @@ NULL_TOKENS = (
 )
 
 
-def empty_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
-
-
 def fold_text(c: Column) -> Column:
     """Whitespace runs become one space, edges go, empty becomes NULL.
 
-    Most values hold nothing to fold, so byte searches decide whether the far
-    dearer regular expression runs at all.
+    Most values hold nothing to fold; a search decides whether they are rewritten.
     """
-    foldable = c.contains("  ")
-    for blank in _BLANKS:
-        foldable = foldable | c.contains(blank)
-    folded = F.when(foldable, F.regexp_replace(c, r"[ \t\n\f\r]+", " ")).otherwise(c)
-    return empty_to_null(F.trim(folded))
+    folded = F.when(c.rlike(_FOLDABLE), F.regexp_replace(c, _RUNS, " ")).otherwise(c)
+    return F.nullif(F.trim(folded), F.lit(""))
 
 
 def fold_upper(c: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from regweave.functions.codes import country_code, county_fips, state_code, zip5
-from regweave.functions.coords import COORDINATE_BOUNDS, coordinate
-from regweave.functions.dates import pivot_date
+from regweave.functions.coords import COORDINATE_BOUNDS, decimal_text, in_bounds
+from regweave.functions.dates import bare_date, pivot_date
 from regweave.functions.text import fold_text, fold_upper
 from regweave.registry import TableSpec
 
@@ -27,36 +30,56 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def rule_for(spec: TableSpec, column: str) -> Column:
-    """The normalising expression of one source column."""
-    c = named(column)
+@dataclass(frozen=True)
+class Rule:
+    """How a column is normalised: text is prepared once, then given its type.
+
+    Preparing costs most, and codes are read by several output columns, so the
+    two steps are separate projections and the first is never repeated.
+    """
+
+    prepare: Callable[[Column], Column]
+    finish: Callable[[Column], Column] = lambda c: c
+
+
+TEXT = Rule(fold_text)
+DATE = Rule(bare_date, pivot_date)
+STATE = Rule(fold_upper, state_code)
+COUNTRY = Rule(fold_upper, country_code)
+
+
+def rule_for(spec: TableSpec, column: str) -> Rule:
+    """The rule of one source column; the first role that fits decides."""
     if column in spec.date_columns or column.endswith("_DATE"):
-        return pivot_date(c)
+        return DATE
     if column in COORDINATE_BOUNDS:
-        return coordinate(c, *COORDINATE_BOUNDS[column])
+        low, high = COORDINATE_BOUNDS[column]
+        return Rule(decimal_text, lambda value: in_bounds(value, low, high))
     if column in STATE_COLUMNS:
-        return state_code(c)
+        return STATE
     if column in COUNTRY_COLUMNS:
-        return country_code(c)
-    return fold_text(c)
+        return COUNTRY
+    return TEXT
 
 
 def _derived_rules(columns: list[str]) -> dict[str, tuple]:
-    """Columns the layer adds: name -> (rule, raw source columns it reads)."""
+    """Columns the layer adds: name -> (rule, prepared source columns it reads)."""
     derived = {f"{c}_ZIP5": (zip5, c) for c in columns if c in POSTAL_COLUMNS}
     if "STATE_CODE" in columns:
-        derived[RAW_STATE] = (fold_upper, "STATE_CODE")
+        derived[RAW_STATE] = (lambda code: code, "STATE_CODE")
         if "FIPS_CODE" in columns:
             derived[COUNTY] = (county_fips, "FIPS_CODE", "STATE_CODE")
     return derived
 
 
-def clean_columns(spec: TableSpec, columns: list[str], only: tuple[str, ...] = ()) -> list[Column]:
-    """The output columns of the normalised layer, source columns first.
+def clean_frame(raw: DataFrame, spec: TableSpec, only: tuple[str, ...] = ()) -> DataFrame:
+    """Normalise a raw table, or some of its columns, source columns first.
 
-    Spark would let a duplicate name through and fail much later, at the write,
-    so a clash is refused here.
+    Two narrow projections: no row is dropped and nothing shuffles. Spark would
+    let a duplicate name through and fail much later, at the write, so a clash
+    of a derived column with a source column is refused here.
     """
+    columns = raw.columns
     derived = _derived_rules(columns)
     clashes = sorted(set(columns) & set(derived))
     if clashes:
@@ -67,19 +90,16 @@ def clean_columns(spec: TableSpec, columns: list[str], only: tuple[str, ...] = (
     unknown = set(wanted) - set(columns) - set(derived)
     if unknown:
         raise KeyError(f"{spec.name} has no column {', '.join(sorted(unknown))}")
-    out = []
+
+    read = {c for name in wanted for c in (derived[name][1:] if name in derived else (name,))}
+    prepared = raw.select(
+        *[rule_for(spec, c).prepare(named(c)).alias(c) for c in columns if c in read]
+    )
+    finished = []
     for name in wanted:
         if name in derived:
-            rule, *reads = derived[name]
-            out.append(rule(*map(named, reads)).alias(name))
+            rule, *sources = derived[name]
+            finished.append(rule(*map(named, sources)).alias(name))
         else:
-            out.append(rule_for(spec, name).alias(name))
-    return out
-
-
-def clean_frame(raw: DataFrame, spec: TableSpec, only: tuple[str, ...] = ()) -> DataFrame:
-    """Normalise a raw table, or some of its columns.
-
-    One projection: no row is dropped and nothing shuffles.
-    """
-    return raw.select(*clean_columns(spec, raw.columns, only))
+            finished.append(rule_for(spec, name).finish(named(name)).alias(name))
+    return prepared.select(*finished)

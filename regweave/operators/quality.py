@@ -19,9 +19,9 @@ from regweave.functions.codes import FIPS_SHAPES, fips_shape
 from regweave.functions.coords import is_unmappable
 from regweave.functions.dates import is_century_adjusted, is_unparseable
 from regweave.functions.repair import REPLACEMENT
-from regweave.operators.clean import COUNTY, RAW_STATE, clean_columns, named
+from regweave.operators.clean import COUNTY, RAW_STATE, named
 from regweave.operators.integrity import key_profile, row_counts
-from regweave.operators.links import agreement_aggregates
+from regweave.operators.links import link_agreement
 from regweave.layers import Layers
 from regweave.registry import REGISTRY_KEY, SPECS, spec_names
 
@@ -103,7 +103,7 @@ class Family:
     norm_columns: tuple[str, ...] = ()
 
     def aggregates(self, layers: Layers) -> dict[str, dict[str, Column]]:
-        """Per table, named aggregates over ``raw.*`` and ``norm.*`` columns."""
+        """Per relation (``raw_x`` or the normalised ``facility``), named aggregates."""
         return {}
 
     def frames(self, layers: Layers) -> list[DataFrame]:
@@ -188,10 +188,9 @@ class Dates(Family):
     def aggregates(self, layers):
         out: dict[str, dict[str, Column]] = {}
         for t, c in self._columns(layers):
-            raw = F.col(f"raw.{c}")
-            per_table = out.setdefault(t, {f"total.{t}": F.count("*")})
-            per_table[f"bad.{t}.{c}"] = F.count_if(is_unparseable(raw))
-            per_table[f"adjusted.{t}.{c}"] = F.count_if(is_century_adjusted(raw))
+            per_table = out.setdefault(f"raw_{t}", {f"total.{t}": F.count("*")})
+            per_table[f"bad.{t}.{c}"] = F.count_if(is_unparseable(named(c)))
+            per_table[f"adjusted.{t}.{c}"] = F.count_if(is_century_adjusted(named(c)))
         return out
 
     def lines(self, layers):
@@ -233,7 +232,7 @@ class StateCodes(Family):
     norm_columns = ("STATE_CODE", RAW_STATE)
 
     def aggregates(self, layers):
-        bad = out_of_domain(F.col("norm.STATE_CODE"), F.col(f"norm.{RAW_STATE}"))
+        bad = out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE))
         return {"facility": {"state.bad": F.count_if(bad)}}
 
     def frames(self, layers):
@@ -260,9 +259,9 @@ class FipsShapes(Family):
     norm_columns = ("FIPS_CODE", "STATE_CODE", COUNTY)
 
     def aggregates(self, layers):
-        code = F.col("norm.FIPS_CODE")
+        code = F.col("FIPS_CODE")
         counts = {f"fips.{s}": F.count_if(fips_shape(code) == s) for s in FIPS_SHAPES}
-        clash = fips_disagrees(code, F.col("norm.STATE_CODE"), F.col(f"norm.{COUNTY}"))
+        clash = fips_disagrees(code, F.col("STATE_CODE"), F.col(COUNTY))
         return {"facility": {**counts, "fips.clash": F.count_if(clash)}}
 
     def lines(self, layers):
@@ -293,7 +292,7 @@ class Coordinates(Family):
     norm_columns = facility_columns
 
     def aggregates(self, layers):
-        latitude, longitude = F.col("norm.LATITUDE83"), F.col("norm.LONGITUDE83")
+        latitude, longitude = F.col("LATITUDE83"), F.col("LONGITUDE83")
         return {
             "facility": {
                 "coords.rows": F.count("*"),
@@ -329,8 +328,8 @@ class ReplacementCharacters(Family):
     def aggregates(self, layers):
         out: dict[str, dict[str, Column]] = {}
         for t, c in self._columns(layers):
-            marked = F.col(f"raw.{c}").contains(REPLACEMENT)
-            out.setdefault(t, {})[f"marks.{t}.{c}"] = F.count_if(marked)
+            marked = named(c).contains(REPLACEMENT)
+            out.setdefault(f"raw_{t}", {})[f"marks.{t}.{c}"] = F.count_if(marked)
         return out
 
     def lines(self, layers):
@@ -385,29 +384,18 @@ def unpivot(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(F.array(*cells)))
 
 
-def _both_layers(layers: Layers, table: str, norm: tuple[str, ...]) -> DataFrame:
-    """A table with raw and normalised columns side by side, from one scan."""
-    raw = layers.raw[table]
-    sides = [F.struct("*").alias("raw")]
-    if norm:
-        sides.append(F.struct(*clean_columns(SPECS[table], raw.columns, norm)).alias("norm"))
-    return raw.select(*sides)
-
-
 def measures(layers: Layers, families: list[Family]) -> DataFrame:
     """All numbers the families need, as (key, n, sample) rows."""
-    per_table: dict[str, dict[str, Column]] = {}
+    wanted: dict[str, dict[str, Column]] = {}
     for family in families:
-        for table, wanted in family.aggregates(layers).items():
-            per_table.setdefault(table, {}).update(wanted)
-    norm = tuple(dict.fromkeys(c for family in families for c in family.norm_columns))
-    frames = [
-        unpivot(
-            _both_layers(layers, t, norm if t == "facility" else ())
-            .agg(*[c.alias(k) for k, c in wanted.items()])
-        )
-        for t, wanted in per_table.items()
-    ]
+        for relation, aggregates in family.aggregates(layers).items():
+            wanted.setdefault(relation, {}).update(aggregates)
+    norm = dict.fromkeys(c for family in families for c in family.norm_columns)
+    frames = []
+    for relation, aggregates in wanted.items():
+        # The normalised facility brings just the columns that are measured.
+        frame = layers.clean(relation, *norm) if relation == "facility" else layers.relation(relation)
+        frames.append(unpivot(frame.agg(*[c.alias(k) for k, c in aggregates.items()])))
     for family in families:
         frames += family.frames(layers)
 
@@ -423,9 +411,7 @@ def measures(layers: Layers, families: list[Family]) -> DataFrame:
             F.concat(F.lit("rows."), "table").alias("key"), "n",
             F.lit(None).cast(SAMPLE_TYPE).alias("sample")))
     if kinds & {CrosswalkAgreement, SingleSourceLinks}:
-        wanted = agreement_aggregates()
-        links = layers.built["crosswalk"].agg(*[c.alias(k) for k, c in wanted.items()])
-        frames.append(unpivot(links))
+        frames.append(unpivot(link_agreement(layers.built["crosswalk"])))
     if not frames:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], f"key string, n bigint, sample {SAMPLE_TYPE}")

@@ -52,7 +52,7 @@ def water_system(links: DataFrame, interests: DataFrame, facility: DataFrame) ->
         F.col(PROGRAM_ID).alias("SFDW_ID"),
         system.alias("PWSID"),
         part.alias("SYSTEM_FACILITY_ID"),
-        state_code(F.substring(system, 1, 2)).alias("PWSID_STATE"),
+        state_code(F.upper(F.substring(system, 1, 2))).alias("PWSID_STATE"),
         *INTEREST_COLUMNS,
         *FACILITY_COLUMNS,
     )

@@ -13,6 +13,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Wide projections of rules outgrow what the JIT compiles as one method; past this
+    # size Spark compiles each operator by itself, in methods the JIT accepts.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python line of every expression costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

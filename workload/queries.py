@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regweave.functions import repair
 from regweave.functions.codes import country_code, fips_shape, state_code, zip5
-from regweave.functions.coords import coordinate, is_unmappable
-from regweave.functions.dates import is_century_adjusted, is_unparseable, pivot_date
+from regweave.functions.coords import decimal_text, in_bounds, is_unmappable
+from regweave.functions.dates import bare_date, is_century_adjusted, is_unparseable, pivot_date
 from regweave.functions.text import fold_text, fold_upper, null_tokens_to_null
 from regweave.layers import Layers
 from regweave.operators import integrity, links as lk, quality
@@ -62,16 +62,16 @@ def parse_date_pivot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     texts = orders.selectExpr("o_orderkey", f"{date_text('o_orderdate')} AS recent",
                               f"{date_text('o_orderdate', 40)} AS early")
-    return texts.select("o_orderkey", *[pivot_date(F.col(c)).alias(c) for c in ("recent", "early")])
+    return texts.select("o_orderkey", *[pivot_date(bare_date(F.col(c))).alias(c) for c in ("recent", "early")])
 
 
 def code_rules(spark, sf_dir):
     raw = raw_table(spark, sf_dir, "mailing_address")
     return raw.select(
         "REGISTRY_ID",
-        country_code(F.col("COUNTRY_NAME")).alias("country"),
-        state_code(F.col("STATE_CODE")).alias("state"),
-        zip5(F.col("POSTAL_CODE")).alias("zip5"),
+        country_code(fold_upper(F.col("COUNTRY_NAME"))).alias("country"),
+        state_code(fold_upper(F.col("STATE_CODE"))).alias("state"),
+        zip5(fold_text(F.col("POSTAL_CODE"))).alias("zip5"),
         fold_upper(F.col("MAILING_ADDRESS")).alias("address"),
     )
 
@@ -79,8 +79,9 @@ def code_rules(spark, sf_dir):
 def coord_bounds(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     text = F.concat(F.lit(" "), F.floor(F.col("c_acctbal") / 50).cast("string"), F.lit(".5"))
-    return customers.select("c_custkey", coordinate(text, -90, 90).alias("latitude"),
-                            coordinate(text).alias("longitude"))
+    values = customers.select("c_custkey", decimal_text(text).alias("value"))
+    return values.select("c_custkey", in_bounds(F.col("value"), -90, 90).alias("latitude"),
+                         in_bounds(F.col("value")).alias("longitude"))
 
 
 def null_tokens(spark, sf_dir):

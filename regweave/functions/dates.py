@@ -10,6 +10,8 @@ FIRST_OLD_YEAR = "50"
 ADJUSTED_YEARS = (1950, 1968)
 
 _EDGE_BLANKS = " \t\n\x0b\f\r"
+_SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{1,2}\z"
+_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 
 
 def bare_date(c: Column) -> Column:
@@ -20,27 +22,24 @@ def bare_date(c: Column) -> Column:
 def pivot_date(bare: Column) -> Column:
     """``DD-MON-YY`` text as a date, NULL when it names no real day.
 
-    The century is spelled out from the digits before parsing, so the value is
-    parsed once, text of another shape never reaches the parser, and the clock
-    is never read. Day and year may drop their leading zero.
+    Text of the right shape is respelled with its century as an ISO date, and a
+    cast checks the calendar. Unlike a format parser the cast raises nothing
+    inside and knows no time zone; the clock is never read either.
     """
-    digits = F.substring_index(bare, "-", -1)
-    lead = F.length(bare) - F.length(digits)
-    year = (
-        F.when(F.length(digits) == 1, F.concat(F.lit("200"), digits))
-        .when(F.length(digits) != 2, None)
-        .when(digits < FIRST_OLD_YEAR, F.concat(F.lit("20"), digits))
-        .otherwise(F.concat(F.lit("19"), digits))
-    )
-    spelled = F.when(lead.isin(6, 7), F.concat(F.substring(bare, F.lit(1), lead), year))
-    return F.try_to_date(spelled, "d-MMM-yyyy")
-
-
-def is_unparseable(c: Column) -> Column:
-    """True where text is present but names no date."""
-    return (F.trim(c) != "") & pivot_date(bare_date(c)).isNull()
-
-
-def is_century_adjusted(c: Column) -> Column:
-    """True where the century rule overrode the C-style reading."""
-    return F.year(pivot_date(bare_date(c))).between(*ADJUSTED_YEARS)
+    day = F.substring_index(bare, "-", 1)
+    month_at = F.instr(F.lit(_MONTHS), F.upper(F.split_part(bare, F.lit("-"), F.lit(2))))
+    month = F.when(month_at % 3 == 1, ((month_at + 2) / 3).cast("int"))
+    year = F.lpad(F.substring_index(bare, "-", -1), 2, "0")
+    century = F.when(year < FIRST_OLD_YEAR, "20").otherwise("19")
+    iso = F.concat(century, year, F.lit("-"), month.cast("string"), F.lit("-"), day)
+    return F.when(bare.rlike(_SHAPE), iso).try_cast("date")
+
+
+def has_text(c: Column) -> Column:
+    """True where a date column holds anything but spaces."""
+    return F.trim(c) != ""
+
+
+def century_adjusted(day: Column) -> Column:
+    """True for a parsed date whose C-style reading the century rule overrode."""
+    return F.year(day).between(*ADJUSTED_YEARS)

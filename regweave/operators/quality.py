@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from regweave.functions.codes import FIPS_SHAPES, fips_shape
 from regweave.functions.coords import is_unmappable
-from regweave.functions.dates import is_century_adjusted, is_unparseable
+from regweave.functions.dates import bare_date, century_adjusted, has_text, pivot_date
 from regweave.functions.repair import REPLACEMENT
 from regweave.operators.clean import COUNTY, RAW_STATE, named
 from regweave.operators.integrity import key_profile, row_counts
@@ -42,53 +42,52 @@ MARKED_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
-class Line:
-    """One report line as expressions over the measured numbers."""
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    name: str
-    status: Column
-    value: Column
-    number: Column | None = None
-    detail: Column | str = ""
-    sample: Column | None = None
-    emit: Column | None = None
 
-    def struct(self) -> Column:
-        detail = F.lit(self.detail) if isinstance(self.detail, str) else self.detail
-        number = F.lit(None) if self.number is None else self.number
-        sample = F.lit(None) if self.sample is None else self.sample
-        emit = F.lit(True) if self.emit is None else self.emit
-        return F.struct(
-            F.lit(self.name).alias("name"),
-            self.status.cast("string").alias("status"),
-            self.value.cast("string").alias("value"),
-            number.cast("bigint").alias("value_num"),
-            detail.alias("detail"),
-            sample.cast(SAMPLE_TYPE).alias("sample"),
-            emit.alias("emit"),
-        )
+def number(key: str) -> str:
+    return f"try_element_at(numbers, {sql_text(key)})"
 
 
-def number(key: str) -> Column:
-    return F.try_element_at("numbers", F.lit(key))
+def sample(key: str) -> str:
+    return f"try_element_at(samples, {sql_text(key)})"
 
 
-def sample(key: str) -> Column:
-    return F.try_element_at("samples", F.lit(key))
+def grouped(n: str) -> str:
+    return f"format_number({n}, 0)"
 
 
-def grouped(n: Column) -> Column:
-    return F.format_number(n, 0)
+@dataclass(frozen=True)
+class Line:
+    """One report line; all but the name are SQL over the measured numbers."""
+
+    name: str
+    status: str
+    value: str
+    number: str = "NULL"
+    detail: str = "''"
+    sample: str = "NULL"
+    emit: str = "true"
+
+    def struct(self) -> Column:
+        return F.expr(
+            f"struct({sql_text(self.name)} AS name, {self.status} AS status, "
+            f"cast({self.value} AS string) AS value, cast({self.number} AS bigint) AS value_num, "
+            f"{self.detail} AS detail, cast({self.sample} AS {SAMPLE_TYPE}) AS sample, "
+            f"{self.emit} AS emit)"
+        )
 
 
 def fixed(name: str, status: str, value: str, detail: str, n: int | None = None) -> Line:
-    return Line(name, F.lit(status), F.lit(value), F.lit(n), detail)
+    number = "NULL" if n is None else str(n)
+    return Line(name, sql_text(status), sql_text(value), number, sql_text(detail))
 
 
-def zero_is_ok(name: str, key: str, detail: Column | str, otherwise: str = WARN, **more) -> Line:
+def zero_is_ok(name: str, key: str, detail: str, otherwise: str = WARN, sample: str = "NULL") -> Line:
     n = number(key)
-    return Line(name, F.when(n == 0, OK).otherwise(otherwise), n, n, detail, **more)
+    return Line(name, f"if({n} = 0, '{OK}', '{otherwise}')", n, n, detail, sample)
 
 
 class Family:
@@ -99,11 +98,12 @@ class Family:
     #: columns of the raw facility table the family reads
     facility_columns: tuple[str, ...] = ()
 
-    #: normalised facility columns the family reads
-    norm_columns: tuple[str, ...] = ()
+    def facts(self, layers: Layers) -> dict[str, dict[str, Column]]:
+        """Per relation, what is worked out once for each row."""
+        return {}
 
-    def aggregates(self, layers: Layers) -> dict[str, dict[str, Column]]:
-        """Per relation (``raw_x`` or the normalised ``facility``), named aggregates."""
+    def counts(self, layers: Layers) -> dict[str, dict[str, Column]]:
+        """Per relation, named aggregates over its facts."""
         return {}
 
     def frames(self, layers: Layers) -> list[DataFrame]:
@@ -137,7 +137,7 @@ class RowCounts(Family):
         for t in spec_names():
             if t in layers.raw:
                 n = number(f"rows.{t}")
-                out.append(Line(f"rows.{t}", F.when(n > 0, OK).otherwise(FAIL), n, n))
+                out.append(Line(f"rows.{t}", f"if({n} > 0, '{OK}', '{FAIL}')", n, n))
             else:
                 out.append(fixed(f"rows.{t}", WARN, "0", "table not ingested", 0))
         return out
@@ -149,12 +149,8 @@ class FacilityKey(Family):
     facility_columns = (REGISTRY_KEY,)
 
     def lines(self, layers):
-        return [
-            zero_is_ok(
-                "facility.registry_id_unique", "duplicates.facility",
-                "keys that occur on several facility rows", otherwise=FAIL,
-            )
-        ]
+        detail = sql_text("keys that occur on several facility rows")
+        return [zero_is_ok("facility.registry_id_unique", "duplicates.facility", detail, FAIL)]
 
 
 class Orphans(Family):
@@ -167,10 +163,11 @@ class Orphans(Family):
         for t in spec_names():
             if t == "facility" or t not in layers.raw:
                 continue
+            name = f"orphans.{t}"
             if REGISTRY_KEY in layers.raw[t].columns:
-                out.append(zero_is_ok(f"orphans.{t}", f"orphans.{t}", "rows without a facility row"))
+                out.append(zero_is_ok(name, name, sql_text("rows without a facility row")))
             else:
-                out.append(fixed(f"orphans.{t}", FAIL, "error", f"no column {REGISTRY_KEY}"))
+                out.append(fixed(name, FAIL, "error", f"no column {REGISTRY_KEY}"))
         return out
 
 
@@ -185,24 +182,34 @@ class Dates(Family):
                     if c in layers.raw[t].columns:
                         yield t, c
 
-    def aggregates(self, layers):
+    def facts(self, layers):
         out: dict[str, dict[str, Column]] = {}
         for t, c in self._columns(layers):
-            per_table = out.setdefault(f"raw_{t}", {f"total.{t}": F.count("*")})
-            per_table[f"bad.{t}.{c}"] = F.count_if(is_unparseable(named(c)))
-            per_table[f"adjusted.{t}.{c}"] = F.count_if(is_century_adjusted(named(c)))
+            out.setdefault(f"raw_{t}", {}).update({
+                f"has_{c}": has_text(named(c)),
+                f"day_{c}": pivot_date(bare_date(named(c))),
+            })
+        return out
+
+    def counts(self, layers):
+        out: dict[str, dict[str, Column]] = {}
+        for t, c in self._columns(layers):
+            day = F.col(f"day_{c}")
+            out.setdefault(f"raw_{t}", {f"total.{t}": F.count("*")}).update({
+                f"bad.{t}.{c}": F.count_if(F.col(f"has_{c}") & day.isNull()),
+                f"adjusted.{t}.{c}": F.count_if(century_adjusted(day)),
+            })
         return out
 
     def lines(self, layers):
         out = []
         for t, c in self._columns(layers):
-            detail = F.concat(F.lit("of "), grouped(number(f"total.{t}")), F.lit(" rows; read as NULL"))
+            detail = f"concat('of ', {grouped(number(f'total.{t}'))}, ' rows; read as NULL')"
             out.append(zero_is_ok(f"dates.{t}.{c}.unparseable", f"bad.{t}.{c}", detail))
             moved = number(f"adjusted.{t}.{c}")
-            out.append(
-                Line(f"dates.{t}.{c}.century_adjusted", F.lit(WARN), moved, moved,
-                     "two-digit years read as 1950-1968, not 2050-2068", emit=moved > 0)
-            )
+            out.append(Line(
+                f"dates.{t}.{c}.century_adjusted", f"'{WARN}'", moved, moved,
+                sql_text("two-digit years read as 1950-1968, not 2050-2068"), emit=f"{moved} > 0"))
         return out
 
 
@@ -229,9 +236,11 @@ class StateCodes(Family):
     name = "check_state_codes"
     requires = ("facility",)
     facility_columns = ("STATE_CODE",)
-    norm_columns = ("STATE_CODE", RAW_STATE)
 
-    def aggregates(self, layers):
+    def facts(self, layers):
+        return {"facility": {c: F.col(c) for c in ("STATE_CODE", RAW_STATE)}}
+
+    def counts(self, layers):
         bad = out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE))
         return {"facility": {"state.bad": F.count_if(bad)}}
 
@@ -241,47 +250,44 @@ class StateCodes(Family):
         return [as_sample("state.bad", top_values(facility.filter(bad), RAW_STATE))]
 
     def lines(self, layers):
-        return [
-            zero_is_ok("facility.state_code_out_of_domain", "state.bad",
-                       "codes outside the postal domain, NULL once normalised",
-                       sample=sample("state.bad"))
-        ]
+        detail = sql_text("codes outside the postal domain, NULL once normalised")
+        return [zero_is_ok("facility.state_code_out_of_domain", "state.bad", detail,
+                           sample=sample("state.bad"))]
 
 
-def fips_disagrees(fips: Column, state: Column, county: Column) -> Column:
-    return (fips_shape(fips) == "county_fips_5") & state.isNotNull() & county.isNull()
+def fips_disagrees(shape: Column, state: Column, county: Column) -> Column:
+    return (shape == "county_fips_5") & state.isNotNull() & county.isNull()
 
 
 class FipsShapes(Family):
     name = "check_fips_shapes"
     requires = ("facility",)
     facility_columns = ("FIPS_CODE", "STATE_CODE")
-    norm_columns = ("FIPS_CODE", "STATE_CODE", COUNTY)
 
-    def aggregates(self, layers):
-        code = F.col("FIPS_CODE")
-        counts = {f"fips.{s}": F.count_if(fips_shape(code) == s) for s in FIPS_SHAPES}
-        clash = fips_disagrees(code, F.col("STATE_CODE"), F.col(COUNTY))
+    def facts(self, layers):
+        kept = {c: F.col(c) for c in ("STATE_CODE", COUNTY)}
+        return {"facility": {**kept, "shape": fips_shape(F.col("FIPS_CODE"))}}
+
+    def counts(self, layers):
+        shape = F.col("shape")
+        counts = {f"fips.{s}": F.count_if(shape == s) for s in FIPS_SHAPES}
+        clash = fips_disagrees(shape, F.col("STATE_CODE"), F.col(COUNTY))
         return {"facility": {**counts, "fips.clash": F.count_if(clash)}}
 
     def lines(self, layers):
-        shapes = F.array(*[
-            F.struct((-number(f"fips.{s}")).alias("rank"), F.lit(s).alias("key"),
-                     number(f"fips.{s}").alias("n"))
+        usable = number("fips.county_fips_5")
+        present = " + ".join(number(f"fips.{s}") for s in FIPS_SHAPES if s != "null")
+        shapes = ", ".join(
+            f"struct(-{number(f'fips.{s}')} AS rank, '{s}' AS key, {number(f'fips.{s}')} AS n)"
             for s in FIPS_SHAPES
-        ])
-        seen = F.transform(
-            F.array_sort(F.filter(shapes, lambda r: r["n"] > 0)),
-            lambda r: F.struct(r["key"].alias("key"), r["n"].alias("n")),
         )
-        usable = number("fips.county_fips_5")
-        present = reduce(Column.__add__, [number(f"fips.{s}") for s in FIPS_SHAPES if s != "null"])
-        value = F.concat(grouped(usable), F.lit(" usable of "), grouped(present), F.lit(" non-null"))
+        seen = f"transform(array_sort(filter(array({shapes}), r -> r.n > 0)), r -> struct(r.key, r.n))"
         return [
-            Line("facility.fips_code_shapes", F.when(usable == present, OK).otherwise(WARN),
-                 value, usable, "only five digits form a county code", seen),
+            Line("facility.fips_code_shapes", f"if({usable} = {present}, '{OK}', '{WARN}')",
+                 f"concat({grouped(usable)}, ' usable of ', {grouped(present)}, ' non-null')",
+                 usable, sql_text("only five digits form a county code"), seen),
             zero_is_ok("facility.fips_state_disagreement", "fips.clash",
-                       "five-digit codes whose state digits contradict the state code"),
+                       sql_text("five-digit codes whose state digits contradict the state code")),
         ]
 
 
@@ -289,10 +295,12 @@ class Coordinates(Family):
     name = "check_coordinates"
     requires = ("facility",)
     facility_columns = ("LATITUDE83", "LONGITUDE83")
-    norm_columns = facility_columns
 
-    def aggregates(self, layers):
-        latitude, longitude = F.col("LATITUDE83"), F.col("LONGITUDE83")
+    def facts(self, layers):
+        return {"facility": {c: F.col(c) for c in self.facility_columns}}
+
+    def counts(self, layers):
+        latitude, longitude = map(F.col, self.facility_columns)
         return {
             "facility": {
                 "coords.rows": F.count("*"),
@@ -303,18 +311,17 @@ class Coordinates(Family):
 
     def lines(self, layers):
         rows, present, unusable = (number(f"coords.{k}") for k in ("rows", "present", "unusable"))
-        percent = F.when(rows > 0, present * 100.0 / rows).otherwise(0.0)
-        share = F.format_string("%s / %s (%.1f%%)", grouped(present), grouped(rows), percent)
-        nothing = present == 0
+        percent = f"if({rows} > 0, {present} * 100.0D / {rows}, 0.0D)"
         return [
-            Line("facility.coordinates_present", F.when(percent > 50, OK).otherwise(WARN),
-                 share, present, "facilities with a latitude"),
+            Line("facility.coordinates_present", f"if({percent} > 50, '{OK}', '{WARN}')",
+                 f"format_string('%s / %s (%.1f%%)', {grouped(present)}, {grouped(rows)}, {percent})",
+                 present, sql_text("facilities with a latitude")),
             Line("facility.coordinates_unusable",
-                 F.when(nothing | (unusable > 0), WARN).otherwise(OK),
-                 F.when(nothing, "not applicable").otherwise(unusable.cast("string")),
-                 F.when(~nothing, unusable),
-                 F.when(nothing, "the extract holds no coordinates to check")
-                 .otherwise("a latitude, but no longitude or a point outside the country's box")),
+                 f"if({present} = 0 OR {unusable} > 0, '{WARN}', '{OK}')",
+                 f"if({present} = 0, 'not applicable', cast({unusable} AS string))",
+                 f"if({present} = 0, NULL, {unusable})",
+                 f"if({present} = 0, 'the extract holds no coordinates to check', "
+                 "'a latitude, but no longitude or a point outside the box around the country')"),
         ]
 
 
@@ -325,23 +332,26 @@ class ReplacementCharacters(Family):
     def _columns(layers):
         return [(t, c) for t, c in MARKED_COLUMNS if t in layers.raw and c in layers.raw[t].columns]
 
-    def aggregates(self, layers):
+    def facts(self, layers):
+        out: dict[str, dict[str, Column]] = {}
+        for t, c in self._columns(layers):
+            out.setdefault(f"raw_{t}", {})[f"marked_{c}"] = named(c).contains(REPLACEMENT)
+        return out
+
+    def counts(self, layers):
         out: dict[str, dict[str, Column]] = {}
         for t, c in self._columns(layers):
-            marked = named(c).contains(REPLACEMENT)
-            out.setdefault(f"raw_{t}", {})[f"marks.{t}.{c}"] = F.count_if(marked)
+            out.setdefault(f"raw_{t}", {})[f"marks.{t}.{c}"] = F.count_if(f"marked_{c}")
         return out
 
     def lines(self, layers):
         keys = [f"{t}.{c}" for t, c in self._columns(layers)]
-        total = reduce(Column.__add__, [number(f"marks.{k}") for k in keys], F.lit(0))
-        rows = F.array(*[
-            F.struct(F.lit(k).alias("key"), number(f"marks.{k}").alias("n")) for k in keys
-        ]).cast(SAMPLE_TYPE)
+        total = " + ".join(["0"] + [number(f"marks.{k}") for k in keys])
+        rows = ", ".join(f"struct('{k}' AS key, {number(f'marks.{k}')} AS n)" for k in keys)
+        marked = f"filter(array({rows}), r -> r.n > 0)" if keys else "NULL"
         return [
-            Line("text.replacement_characters", F.when(total == 0, OK).otherwise(WARN), total, total,
-                 "rows holding U+FFFD; the audit tells the publisher's from our own",
-                 F.filter(rows, lambda r: r["n"] > 0))
+            Line("text.replacement_characters", f"if({total} = 0, '{OK}', '{WARN}')", total, total,
+                 sql_text("rows holding U+FFFD; the audit tells the publisher's from our own"), marked)
         ]
 
 
@@ -350,7 +360,7 @@ class CrosswalkAgreement(Family):
     requires = ("crosswalk",)
 
     def lines(self, layers):
-        of = F.concat(F.lit("of "), grouped(number("links")), F.lit(" links"))
+        of = f"concat('of ', {grouped(number('links'))}, ' links')"
         return [
             zero_is_ok(f"crosswalk.{k}", k, of)
             for k in ("in_facility_string_not_program_table", "in_program_table_not_facility_string")
@@ -363,9 +373,9 @@ class SingleSourceLinks(Family):
 
     def lines(self, layers):
         n = number("single_source_links")
-        value = F.concat_ws(" / ", grouped(n), grouped(number("links")))
-        return [Line("crosswalk.single_source_links", F.lit(OK), value, n,
-                     "links with one asserting source, the weakest evidence")]
+        return [Line("crosswalk.single_source_links", f"'{OK}'",
+                     f"concat({grouped(n)}, ' / ', {grouped(number('links'))})", n,
+                     sql_text("links with one asserting source, the weakest evidence"))]
 
 
 ALL_CHECKS: tuple[Family, ...] = (
@@ -377,25 +387,25 @@ ALL_CHECKS: tuple[Family, ...] = (
 def unpivot(one_row: DataFrame) -> DataFrame:
     """The columns of a one-row frame as (key, n, sample) rows."""
     cells = [
-        F.struct(F.lit(c).alias("key"), named(c).cast("bigint").alias("n"),
-                 F.lit(None).cast(SAMPLE_TYPE).alias("sample"))
+        f"struct({sql_text(c)} AS key, cast(`{c}` AS bigint) AS n, cast(NULL AS {SAMPLE_TYPE}) AS sample)"
         for c in one_row.columns
     ]
-    return one_row.select(F.inline(F.array(*cells)))
+    return one_row.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def measures(layers: Layers, families: list[Family]) -> DataFrame:
     """All numbers the families need, as (key, n, sample) rows."""
-    wanted: dict[str, dict[str, Column]] = {}
+    facts: dict[str, dict[str, Column]] = {}
+    counts: dict[str, dict[str, Column]] = {}
     for family in families:
-        for relation, aggregates in family.aggregates(layers).items():
-            wanted.setdefault(relation, {}).update(aggregates)
-    norm = dict.fromkeys(c for family in families for c in family.norm_columns)
+        for relation, columns in family.facts(layers).items():
+            facts.setdefault(relation, {}).update(columns)
+        for relation, columns in family.counts(layers).items():
+            counts.setdefault(relation, {}).update(columns)
     frames = []
-    for relation, aggregates in wanted.items():
-        # The normalised facility brings just the columns that are measured.
-        frame = layers.clean(relation, *norm) if relation == "facility" else layers.relation(relation)
-        frames.append(unpivot(frame.agg(*[c.alias(k) for k, c in aggregates.items()])))
+    for relation, aggregates in counts.items():
+        rows = layers.relation(relation).select(*[c.alias(k) for k, c in facts[relation].items()])
+        frames.append(unpivot(rows.agg(*[c.alias(k) for k, c in aggregates.items()])))
     for family in families:
         frames += family.frames(layers)
 

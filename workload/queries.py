@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regweave.functions import repair
 from regweave.functions.codes import country_code, fips_shape, state_code, zip5
 from regweave.functions.coords import decimal_text, in_bounds, is_unmappable
-from regweave.functions.dates import bare_date, is_century_adjusted, is_unparseable, pivot_date
+from regweave.functions.dates import bare_date, century_adjusted, has_text, pivot_date
 from regweave.functions.text import fold_text, fold_upper, null_tokens_to_null
 from regweave.layers import Layers
 from regweave.operators import integrity, links as lk, quality
@@ -18,6 +18,7 @@ from regweave.operators.clean import COUNTY, RAW_STATE
 from regweave.operators.privacy import withhold
 from regweave.operators.subset import water_system
 from regweave.registry import PERSONAL_TABLES, registry_frame
+from regweave.session import shared_folder
 from regweave.sources.records import parse_records, repair_records
 from workload.bindings import BASE_TABLES, date_text, raw_table, raw_tables, table
 
@@ -138,7 +139,8 @@ def clean_program(spark, sf_dir):
 
 
 def explode_links(spark, sf_dir):
-    return lk.explode_packed(layers(spark, sf_dir).link_inputs()["facility"])
+    facility = Layers({"facility": raw_table(spark, sf_dir, "facility")})
+    return lk.explode_packed(facility.link_inputs()["facility"])
 
 
 def tagged_union(spark, sf_dir):
@@ -168,7 +170,10 @@ def water_systems(spark, sf_dir):
 
 
 def program_pivot(spark, sf_dir):
-    links = build_crosswalk(spark, sf_dir)
+    # The pivot reads the links twice; a build has them as a table, here a
+    # checkpoint in the shared folder stands in for it.
+    shared_folder(spark)
+    links = build_crosswalk(spark, sf_dir).checkpoint()
     pivot = lk.program_pivot(links, PIVOT_ACRONYMS)
     return _flat(pivot, *[lk.pivot_column(a) for a in PIVOT_ACRONYMS]).drop("part")
 
@@ -225,11 +230,12 @@ def unlabelled_documents(spark, sf_dir):
 
 
 def date_quality(spark, sf_dir):
-    raw = raw_table(spark, sf_dir, "facility")
     update = F.col("UPDATE_DATE")
-    return raw.agg(F.count_if(is_unparseable(update)).alias("unparseable"),
-                   F.count_if(is_century_adjusted(update)).alias("adjusted"),
-                   F.count("*").alias("total"))
+    days = raw_table(spark, sf_dir, "facility").select(
+        has_text(update).alias("present"), pivot_date(bare_date(update)).alias("day"))
+    return days.agg(F.count_if(F.col("present") & F.col("day").isNull()).alias("unparseable"),
+                    F.count_if(century_adjusted(F.col("day"))).alias("adjusted"),
+                    F.count("*").alias("total"))
 
 
 def state_out_of_domain(spark, sf_dir):
@@ -244,7 +250,7 @@ def fips_shapes(spark, sf_dir):
 
 
 def fips_disagreement(spark, sf_dir):
-    clash = quality.fips_disagrees(F.col("FIPS_CODE"), F.col("STATE_CODE"), F.col(COUNTY))
+    clash = quality.fips_disagrees(fips_shape(F.col("FIPS_CODE")), F.col("STATE_CODE"), F.col(COUNTY))
     return clean_facility(spark, sf_dir).filter(clash).select("REGISTRY_ID", "FIPS_CODE", "STATE_CODE")
 
 

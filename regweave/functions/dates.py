@@ -26,10 +26,11 @@ def pivot_date(bare: Column) -> Column:
     cast checks the calendar. Unlike a format parser the cast raises nothing
     inside and knows no time zone; the clock is never read either.
     """
-    day = F.substring_index(bare, "-", 1)
-    month_at = F.instr(F.lit(_MONTHS), F.upper(F.split_part(bare, F.lit("-"), F.lit(2))))
+    dash = F.instr(bare, "-")
+    day = F.substring(bare, F.lit(1), dash - 1)
+    month_at = F.instr(F.lit(_MONTHS), F.upper(F.substring(bare, dash + 1, F.lit(3))))
     month = F.when(month_at % 3 == 1, ((month_at + 2) / 3).cast("int"))
-    year = F.lpad(F.substring_index(bare, "-", -1), 2, "0")
+    year = F.lpad(F.substring(bare, dash + 5, F.lit(2)), 2, "0")
     century = F.when(year < FIRST_OLD_YEAR, "20").otherwise("19")
     iso = F.concat(century, year, F.lit("-"), month.cast("string"), F.lit("-"), day)
     return F.when(bare.rlike(_SHAPE), iso).try_cast("date")

@@ -45,13 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting falls back to a scratch folder;
     on a cluster a machine-local folder would vanish with its executor.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = spark.sparkContext._conf.get("regweave.local.folder")
-        if folder is None:
-            folder = tempfile.mkdtemp(prefix="regweave-")
-            spark.sparkContext._conf.set("regweave.local.folder", folder)
-    spark.sparkContext.setCheckpointDir(folder)
+        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="regweave-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder

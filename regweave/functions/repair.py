@@ -17,7 +17,7 @@ _REPLACEMENT_BYTES = "ï¿½"  # its UTF-8 bytes read as ISO-8859-1
 
 def strip_control(c: Column) -> Column:
     """Delete control characters; the row and the rest of the field stay."""
-    return F.regexp_replace(c, CONTROL_BYTES, "")
+    return F.when(c.rlike(CONTROL_BYTES), F.regexp_replace(c, CONTROL_BYTES, "")).otherwise(c)
 
 
 def byte_text(raw: Column) -> Column:
@@ -31,9 +31,10 @@ def utf8_text(c: Column) -> Column:
 
 
 def count_text(c: Column, what: str) -> Column:
-    """How often a text occurs in a value."""
+    """How often a text occurs in a value; seldom does it occur at all."""
     gone = F.length(c) - F.length(F.replace(c, F.lit(what), F.lit("")))
-    return (gone / len(what)).cast("bigint")
+    times = (gone / len(what)).cast("bigint")
+    return F.when(c.contains(what), times).when(c.isNotNull(), F.lit(0).cast("bigint"))
 
 
 def control_count(raw_text: Column, stripped: Column) -> Column:
@@ -49,7 +50,10 @@ def bad_byte_count(stripped: Column, repaired: Column) -> Column:
     """Bytes this repair replaced.
 
     Valid bytes pass through unchanged, so the length difference plus three bytes
-    for every replacement character of our own gives the number replaced.
+    for every replacement character of our own gives the number replaced. Without
+    a replacement character there was none.
     """
     ours = count_text(repaired, REPLACEMENT) - source_replacements(stripped)
-    return (F.length(stripped) - F.octet_length(repaired) + 3 * ours).cast("bigint")
+    replaced = (F.length(stripped) - F.octet_length(repaired) + 3 * ours).cast("bigint")
+    marked = repaired.contains(REPLACEMENT)
+    return F.when(marked, replaced).when(~marked, F.lit(0).cast("bigint"))

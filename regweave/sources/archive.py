@@ -23,7 +23,9 @@ RECORD_SCHEMA = "member string, block bigint, record binary"
 READ_SIZE = 1 << 20
 #: a record beyond this is taken for an unbalanced quote
 MAX_RECORD = 1 << 26
+#: partitions of a large member, and the least worth a task of a small one
 PARTITION_BYTES = 128 << 20
+LEAST_PARTITION_BYTES = 32 << 20
 _QUOTE, _NEWLINE = ord('"'), ord("\n")
 _BOM = b"\xef\xbb\xbf"
 
@@ -124,7 +126,8 @@ def member_records(spark: SparkSession, archive: str, member: str, size: int) ->
     """
     entry = spark.createDataFrame([(archive, member)], "archive string, member string").coalesce(1)
     records = entry.mapInArrow(_inflate, RECORD_SCHEMA)
-    partitions = max(1, -(-size // PARTITION_BYTES))
+    idle = min(spark.sparkContext.defaultParallelism, size // LEAST_PARTITION_BYTES)
+    partitions = max(1, -(-size // PARTITION_BYTES), idle)
     if partitions == 1:
         return records.select("record")
     return records.repartition(partitions, F.col("block")).select("record")

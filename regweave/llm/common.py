@@ -59,3 +59,11 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join in which null keys match; only the left side's keys stay."""
+    for key in keys:
+        right = right.withColumnRenamed(key, f"_{key}")
+    on = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return left.join(right, on, how).drop(*(f"_{key}" for key in keys))

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from .chat import op7_repair_chats
+from .fingerprints import op5_fingerprint_documents
+from .mixing import op9_mix_sources
 from .packing import op2_pack_documents
+from .pii import op10_find_personal_data
 from .quality import op3_quality_votes
 from .sharding import op4_shard_documents
+from .token_counts import op1_count_tokens
 
 QUERIES = {
+    "op1_count_tokens": op1_count_tokens,
     "op2_pack_documents": op2_pack_documents,
     "op3_quality_votes": op3_quality_votes,
     "op4_shard_documents": op4_shard_documents,
+    "op5_fingerprint_documents": op5_fingerprint_documents,
+    "op7_repair_chats": op7_repair_chats,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_find_personal_data": op10_find_personal_data,
 }
 
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regweave.llm import mixing, packing, pii, quality
+from regweave.llm import jaccard_join, mixing, packing, pii, quality
 from regweave.llm.common import table, written
 
 
@@ -17,6 +17,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similar to 0.8)."""
+    return jaccard_join.keep_one(docs)
+
+
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind."""
     return pii.mask(docs)
@@ -34,6 +39,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", keep_good),
+    ("n-gram Jaccard join", drop_near_copies),
     ("personal data", mask_personal_data),
     ("mixing", mix_sources),
     ("packing", pack_sequences),

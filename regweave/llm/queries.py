@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op7_repair_chats
 from .fingerprints import op5_fingerprint_documents
+from .jaccard_join import op8_link_near_texts
 from .mixing import op9_mix_sources
 from .packing import op2_pack_documents
 from .pii import op10_find_personal_data
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_shard_documents": op4_shard_documents,
     "op5_fingerprint_documents": op5_fingerprint_documents,
     "op7_repair_chats": op7_repair_chats,
+    "op8_link_near_texts": op8_link_near_texts,
     "op9_mix_sources": op9_mix_sources,
     "op10_find_personal_data": op10_find_personal_data,
 }

@@ -10,6 +10,7 @@ from .packing import op2_pack_documents
 from .pii import op10_find_personal_data
 from .quality import op3_quality_votes
 from .sharding import op4_shard_documents
+from .substrings import op6_remove_repeats
 from .token_counts import op1_count_tokens
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_quality_votes": op3_quality_votes,
     "op4_shard_documents": op4_shard_documents,
     "op5_fingerprint_documents": op5_fingerprint_documents,
+    "op6_remove_repeats": op6_remove_repeats,
     "op7_repair_chats": op7_repair_chats,
     "op8_link_near_texts": op8_link_near_texts,
     "op9_mix_sources": op9_mix_sources,

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +68,26 @@ def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
         right = right.withColumnRenamed(key, f"_{key}")
     on = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
     return left.join(right, on, how).drop(*(f"_{key}" for key in keys))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id and text of every row as (doc_id, data): compressed UTF-8, null as empty. For joins that move texts."""
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for part in slices(batch):
+                data = [tool.compress(x.encode()) for x in texts_of(part)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(press, "doc_id long, data binary")
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch of packed texts in parts of few rows."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)

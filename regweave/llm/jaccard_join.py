@@ -17,8 +17,8 @@ How it stays linear where many texts are alike:
 - The full candidate search then takes only pairs of different components, so a group
   that is linked already makes no pairs. A text whose prefix shares fewer shingles
   than any partner could ask for takes no part.
-- Verification sends each text's set to the hub it is compared with; a hub with many texts
-  is split over tasks, each of which gets the hub's set.
+- Verification sends each text, compressed, to the hub it is compared with; a hub with many
+  texts is split over tasks, each of which gets the hub's text.
 
 Frequencies only steer the order and l, never the result. They come from all texts: every
 task keeps a bounded summary of its most frequent shingles (those more frequent than
@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, written
+from .common import packed, parts, slices, table, unpacked, written
 from .components import components
 
 #: Shingles in a task's summary, and in the table of frequent ones.
@@ -66,7 +66,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit hashes."""
     seen: dict[bytes, int] = {}
-    found = [x.encode("utf-8", "surrogatepass").lower().split() for x in texts]  # bytes: A-Z, ASCII spaces
+    found = [x.encode().lower().split() for x in texts]  # bytes: A-Z, ASCII spaces
     flat = [seen.setdefault(w, len(seen)) for ws in found for w in ws]
     kinds = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in seen), dtype=np.uint64, count=len(seen))
     out, at = [], 0
@@ -245,55 +245,47 @@ def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     return _enough(pairs)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; a is the hub of its pairs."""
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; a is the hub of its pairs.
+
+    Compressed texts travel to the hubs, a third of what their sets would take.
+    """
     groups = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / HUB_TEXTS).cast("int").alias("parts"))
     members = pairs.join(groups, "a").select(
-        F.col("b").alias("rid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"),
+        F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"),
         F.lit(1).alias("late"),
     )
     heads = groups.select(
-        F.col("a").alias("rid"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.col("a").alias("doc_id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(0).alias("late"),
     )
-    sent = members.unionByName(heads).join(sets, "rid").select("hub", "part", "late", "rid", "shingles")
+    to = written(members.unionByName(heads), "to")
+    sent = packed(docs).join(to, "doc_id").select("hub", "part", "late", "doc_id", "data")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, heads = None, []
-        for batch in batches:
-            a, b = [], []
-            for hub, part, late, rid, raw in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                own = np.frombuffer(raw, dtype=np.uint64)
-                if (hub, part) != group:
-                    group, heads = (hub, part), []
-                if not late:
-                    heads.append(own)
-                    continue
-                for head in heads:
-                    both = len(np.intersect1d(head, own, assume_unique=True))
-                    if both * 100 >= percent * (len(head) + len(own) - both):
-                        a.append(hub)
-                        b.append(rid)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for whole in batches:
+            for batch in parts(whole):
+                a, b = [], []
+                sets = shingle_sets([unpacked(x).decode() for x in batch.column(4).to_pylist()], size)
+                for own, hub, part, late, rid in zip(sets, *(batch.column(k).to_pylist() for k in range(4))):
+                    if (hub, part) != group:
+                        group, heads = (hub, part), []
+                    if not late:
+                        heads.append(own)
+                        continue
+                    for head in heads:
+                        both = len(np.intersect1d(head, own, assume_unique=True))
+                        if both * 100 >= percent * (len(head) + len(own) - both):
+                            a.append(hub)
+                            b.append(rid)
+                            break
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     dealt = sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "late")
     return written(dealt.mapInArrow(compare, "a long, b long"), "links")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The sets (rid, shingles) of the texts that may have partners."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                sets = shingle_sets([x or "" for x in part.column(1).to_pylist()], size)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["rid", "shingles"])
-
-    some = docs.join(wanted.select(F.col("rid").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return written(some.mapInArrow(run, "rid long, shingles binary").where(F.length("shingles") > 0), "shingles")
-
-
 def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, set_key and component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -307,10 +299,9 @@ def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
     classes = written(rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rid")), "classes")
     prefixes = _prefixes(docs, size, percent, tokens, counts).join(classes, ["set_key", "rid"], "left_semi")
     posts = _postings(prefixes)
-    sets = _sets(docs, posts, size)
-    near = _verified(_star_pairs(posts, percent), sets, percent)
+    near = _verified(written(_star_pairs(posts, percent), "pairs"), docs, size, percent)
     labels = components(near)
-    rest = _verified(_other_pairs(posts, labels, percent), sets, percent)
+    rest = _verified(written(_other_pairs(posts, labels, percent), "pairs"), docs, size, percent)
     # Hub links stand for their components: a label is linked with its nodes.
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest))
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(

@@ -13,8 +13,10 @@ together and sorted there:
   anchors to their homes, overlapping contexts as one stretch. A task sorts the suffixes of
   its homes (see suffix_array) and reads repeats off the common prefixes of neighbours.
 - A home that draws more than HOME_CONTEXTS contexts (a phrase in a great many different
-  surroundings) would not fit a task. Its strings are counted by a 128-bit hash instead,
-  each under its own anchor only: one row for each byte, spread over all tasks.
+  surroundings) would not fit a task. Its contexts are halved: the strings in a half have
+  more bytes in common than the anchor, and are grouped by those. Halves that are equal
+  fold, halves that stand alone are done, and groups that are still crowded are halved
+  again, down to single strings, of which equal ones are all the same.
 - What is repeated in a context then holds wherever the context stands.
 
 Texts travel compressed. Defined results: a null text is empty; texts shorter than DEPTH
@@ -25,20 +27,22 @@ rows like others; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, written
+from .common import packed, parts, slices, table, unpacked, written
 from .suffix_array import DEPTH, repeated_places
 
 GRAM = 32
 #: Gram starts in a string of DEPTH bytes.
 STARTS = DEPTH - GRAM + 1
+#: Places of a context's first pieces; a power of two.
+HALF = 128
 #: Contexts a home may draw; bytes whose suffixes are sorted together at least.
 HOME_CONTEXTS, BATCH_BYTES = 10_000, 1 << 20
 _NO_ID = -(1 << 63)
@@ -87,7 +91,7 @@ def _signed(x: int) -> int:
 
 
 def _bytes_of(part: pa.RecordBatch) -> list[bytes]:
-    return [(x or "").encode("utf-8", "surrogatepass") for x in part.column(1).to_pylist()]
+    return [(x or "").encode() for x in part.column(1).to_pylist()]
 
 
 def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,75 +121,95 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        for part in slices(batch):
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array([press.compress(x) for x in _bytes_of(part.select([0, 2]))], pa.binary())],
-                ["key", "doc_id", "data"],
-            )
-
-
-def _unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
-def _parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for k in range(0, batch.num_rows, rows):
-        yield batch.slice(k, rows)
-
-
 _MEMBER = pa.struct([(x, pa.int64()) for x in ("at", "g", "c", "n")])
-_SENT = ["home", "key", "first", "bytes", "members", "w1", "w2", "g", "c", "start", "weight"]
-_SENT_KINDS = [pa.int64()] * 3 + [pa.binary(), pa.list_(_MEMBER)] + [pa.int64()] * 6
+_SENT = ["home", "key", "first", "bytes", "members", "crowded"]
+_SENT_KINDS = [pa.int64()] * 3 + [pa.binary(), pa.list_(_MEMBER), pa.bool_()]
 _SENT_SCHEMA = (
     "home long, key long, first long, bytes binary, members array<struct<at: long, g: long, c: long, n: long>>, "
-    "w1 long, w2 long, g long, c long, start long, weight long"
+    "crowded boolean"
 )
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of a document for its anchors' homes; single strings for crowded homes."""
+    """Stretches of a document for its anchors' homes; for crowded homes, contexts in halves."""
     last, done = None, set()
     for whole in batches:
-        for batch in _parts(whole):
+        for batch in parts(whole):
             rows = []
-            for key, packed, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if key != last:  # rows of one id stand together
-                    last, done = key, set()
-                data = _unpacked(packed)
-                found = []
+            for doc_id, raw, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if doc_id != last:  # rows of one id stand together
+                    last, done = doc_id, set()
+                key, data, found = _NO_ID if doc_id is None else doc_id, unpacked(raw), []
                 for w in wanted:
                     a, b, c = context(data, w["at"]) if w["at"] + GRAM <= len(data) else (0, 0, None)
                     if c == w["c"] and (w["g"], c) not in done:
                         done.add((w["g"], c))
-                        found.append((w["home"], w["at"], a, b, w))
-                found.sort(key=lambda x: x[:2])
+                        member = {k: w[k] for k in ("at", "g", "c", "n")}
+                        if w["crowded"]:
+                            rows += [(k, key, x, y, [member], True) for k, x, y in pieces_of(data[a:b], a, member, HALF)]
+                        else:
+                            found.append((w["home"], a, b, member))
+                found.sort(key=lambda x: x[:3])
                 start = None
-                crowded = [x for x in found if x[4]["crowded"]]
-                for home, at, a, b, w in [x for x in found if not x[4]["crowded"]]:
-                    member = {k: w[k] for k in ("at", "g", "c", "n")}
+                for home, a, b, member in found:
                     if start is not None and start[0] == home and a <= start[2]:
                         start[2] = b
                         start[3].append(member)
                         continue
                     if start is not None:
-                        rows.append((start[0], key, start[1], data[start[1]:start[2]], start[3], *[None] * 6))
+                        rows.append((start[0], key, start[1], data[start[1]:start[2]], start[3], False))
                     start = [home, a, b, [member]]
                 if start is not None:
-                    rows.append((start[0], key, start[1], data[start[1]:start[2]], start[3], *[None] * 6))
-                if crowded:
-                    _, grams, least = anchors(data)
-                    for _, at, a, _, w in crowded:
-                        for s in range(a, min(at, len(data) - DEPTH) + 1):
-                            if least[s] == grams[at] and not (grams[s:at] == grams[at]).any():
-                                h = xxhash.xxh3_128_intdigest(data[s:s + DEPTH])
-                                rows.append((*[None] * 5, _signed(h >> 64), _signed(h & (1 << 64) - 1), w["g"], w["c"], s - at, min(w["n"], 2)))
+                    rows.append((start[0], key, start[1], data[start[1]:start[2]], start[3], False))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _SENT_KINDS)], _SENT)
 
 
+def pieces_of(raw: bytes, first: int, member: dict, width: int) -> Iterator[tuple[int, int, bytes]]:
+    """The strings of DEPTH bytes in a part of a context, `width` places a piece: key, place, bytes.
+
+    Places are counted from the anchor, so equal strings fall into like pieces, cut off by a
+    text's edge or not. The key is the hash of what all strings of a whole piece would share.
+    """
+    base = member["at"] - STARTS + 1 - first
+    n = len(raw) - DEPTH + 1
+    for k in range((0 - base) // width, (n - 1 - base) // width + 1):
+        low, high = base + k * width, min(base + (k + 1) * width, base + STARTS) - 1
+        a, b = max(low, 0), min(high, n - 1)
+        key = xxhash.xxh3_64_intdigest(raw[high:low + DEPTH], seed=(member["g"] + k) & (1 << 64) - 1)
+        yield _signed(key), first + a, raw[a:b + DEPTH]
+
+
+def _halve(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in parts(whole, 4096):
+            rows = [
+                (k, key, place, piece, members, True)
+                for _, key, first, raw, members in zip(*(batch.column(k).to_pylist() for k in range(5)))
+                for k, place, piece in pieces_of(raw, first, members[0], width)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _SENT_KINDS)], _SENT)
+
+
+def _thinned(pieces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pieces of crowded homes by what remains to do: repeats found because whole pieces are equal,
+    pieces for sorting, and pieces of groups that are still crowded."""
+    pieces = pieces.withColumn("same", F.xxhash64("bytes")).withColumn("m", F.col("members")[0])
+    folded = pieces.groupBy("home", "same", "bytes").agg(F.sum("m.n").alias("n"), F.min(F.struct("key", "first", "m")).alias("p"))
+    folded = written(folded, "pieces")
+    equal = pieces.join(folded.where("n > 1").select("home", "same"), ["home", "same"], "left_semi")
+    found = equal.select(
+        "m.g", "m.c", F.array(F.col("first") - F.col("m.at")).alias("lo"),
+        F.array(F.col("first") + F.length("bytes") - F.col("m.at")).alias("hi"),
+    )
+    member = F.struct(F.col("p.m.at").alias("at"), F.col("p.m.g").alias("g"), F.col("p.m.c").alias("c"), "n")
+    rows = folded.select("home", "p.key", "p.first", "bytes", F.array(member).alias("members"))
+    groups = folded.groupBy("home").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    rows = rows.join(groups, "home")
+    few = F.col("kinds") <= HOME_CONTEXTS
+    return found, rows.where(few).drop("kinds"), rows.where(~few).drop("kinds")
+
+
 def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
     """What strings of DEPTH bytes at the given starts (ascending) cover."""
     if not len(starts):
@@ -215,7 +239,7 @@ def _sort_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["g", "c", "lo", "hi"])
 
     for whole in batches:
-        for batch in _parts(whole):
+        for batch in parts(whole):
             for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if row[0] != home and size >= BATCH_BYTES:
                     yield close()
@@ -234,10 +258,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.strip().split(" ")[0] for x in _CUT.split(",")]
     kinds = [pa.int64()] * 4 + [pa.binary()]
     for whole in batches:
-        for batch in _parts(whole):
+        for batch in parts(whole):
             rows = []
             for doc_id, packed, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                data, kept, spans = _unpacked(packed), [], []
+                data, kept, spans = unpacked(packed), [], []
                 if marks:
                     known = {(m["g"], m["c"]): list(zip(m["lo"], m["hi"])) for m in marks}
                     at, grams, _ = anchors(data)
@@ -264,9 +288,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key")
     texts = docs.select(key, "text")
-    packed = docs.select(key, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _packed, "key long, doc_id long, data binary"
-    )
     twice = written(
         texts.mapInArrow(_anchor_counts, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g"),
         "anchors",
@@ -279,18 +300,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     wanted = folded.join(crowds, "home", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))).groupBy("key").agg(
         F.collect_list(F.struct("at", "g", "c", "n", "home", "crowded")).alias("wanted")
     )
-    sent = written(packed.join(wanted, "key").select("key", "data", "wanted").mapInArrow(_send, _SENT_SCHEMA), "stretches")
-    stretches = sent.where(F.col("bytes").isNotNull()).select("home", "key", "first", "bytes", "members")
+    moved = packed(docs).withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID)))
+    sent = written(moved.join(wanted, "key").select("doc_id", "data", "wanted").mapInArrow(_send, _SENT_SCHEMA), "stretches")
+    stretches, repeats = sent.where(~F.col("crowded")).drop("crowded"), []
+    crowded, width = sent.where("crowded").drop("crowded"), HALF
     result = "g long, c long, lo array<long>, hi array<long>"
+    while width and crowded.limit(1).count():
+        width //= 2
+        found, few, many = _thinned(crowded)
+        repeats.append(written(found, "repeats"))
+        stretches = stretches.unionByName(few)
+        halve = partial(_halve, width=max(width, 1))
+        crowded = written(many.mapInArrow(halve, _SENT_SCHEMA), "pieces").drop("crowded")
     sorted_ = stretches.repartition("home").sortWithinPartitions("home", "key", "first").mapInArrow(_sort_homes, result)
-    strings = sent.where(F.col("w1").isNotNull())
-    often = strings.groupBy("w1", "w2").agg(F.sum("weight").alias("times")).where("times > 1").select("w1", "w2")
-    counted = strings.join(often, ["w1", "w2"]).groupBy("g", "c").agg(F.sort_array(F.collect_list("start")).alias("lo")).select(
-        "g", "c", "lo", F.transform("lo", lambda x: x + DEPTH).alias("hi")
-    )
-    repeats = written(sorted_.unionByName(counted), "repeats")
+    repeats = written(reduce(DataFrame.unionByName, repeats, sorted_), "repeats")
     marks = places.join(repeats, ["g", "c"]).groupBy("key").agg(F.collect_list(F.struct("g", "c", "lo", "hi")).alias("marks"))
-    return packed.join(marks, "key", "left").select("doc_id", "data", "marks").mapInArrow(_cut, _CUT)
+    return moved.join(marks, "key", "left").select("doc_id", "data", "marks").mapInArrow(_cut, _CUT)
 
 
 def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,7 +263,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc_id, packed, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 data, kept, spans = unpacked(packed), [], []
                 if marks:
-                    known = {(m["g"], m["c"]): list(zip(m["lo"], m["hi"])) for m in marks}
+                    known: dict[tuple[int, int], list[tuple[int, int]]] = {}
+                    for m in marks:
+                        known.setdefault((m["g"], m["c"]), []).extend(zip(m["lo"], m["hi"]))
                     at, grams, _ = anchors(data)
                     for p, g in zip(at.tolist(), grams[at].view(np.int64).tolist()):
                         spans += [(p + x, p + y) for x, y in known.get((g, context(data, p)[2]), ())]

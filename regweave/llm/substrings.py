@@ -195,7 +195,9 @@ def _thinned(pieces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pieces of crowded homes by what remains to do: repeats found because whole pieces are equal,
     pieces for sorting, and pieces of groups that are still crowded."""
     pieces = pieces.withColumn("same", F.xxhash64("bytes")).withColumn("m", F.col("members")[0])
-    folded = pieces.groupBy("home", "same", "bytes").agg(F.sum("m.n").alias("n"), F.min(F.struct("key", "first", "m")).alias("p"))
+    place = F.struct("key", "first")  # a text that repeats itself can give one place twice
+    times = F.when(F.min(place) != F.max(place), 2).otherwise(F.max("m.n")).cast("long").alias("n")
+    folded = pieces.groupBy("home", "same", "bytes").agg(times, F.min(F.struct("key", "first", "m")).alias("p"))
     folded = written(folded, "pieces")
     equal = pieces.join(folded.where("n > 1").select("home", "same"), ["home", "same"], "left_semi")
     found = equal.select(

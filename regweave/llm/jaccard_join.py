@@ -6,7 +6,8 @@ y are similar, their prefixes of |x| - a + l shingles (a: the least overlap x al
 at least l of them, for every l. Each text chooses its own l: a longer prefix costs more
 postings but asks candidates to share more of them. With f the summed frequency of a
 prefix, at most f / l candidates pass, so l minimises f + VERIFY * f / l. A pair uses the
-smaller l of the two, counting the shingles that lie in both texts' prefixes for that l.
+smaller l of the two, and counts the shingles that lie in the prefixes which that l and the
+overlap needed by two sets of their sizes leave.
 
 How it stays linear where many texts are alike:
 
@@ -192,12 +193,11 @@ def _prefixes(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, coun
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """Postings (token, rid, n, level, matches, shared) of shingles that two or more prefixes hold,
+    """Postings (token, rid, n, at, matches, shared) of shingles that two or more prefixes hold,
     without texts that share too few for any partner."""
-    level = F.greatest(F.lit(1).cast("long"), F.col("at") - F.col("first") + 2)
     posts = written(prefixes.select(
-        "rid", "n", "first", "matches", F.posexplode("prefix").alias("at", "token")
-    ).select("token", "rid", "n", level.alias("level"), "matches"), "postings")
+        "rid", "n", "matches", F.posexplode("prefix").alias("at", "token")
+    ).select("token", "rid", "n", F.col("at").cast("long").alias("at"), "matches"), "postings")
     common = posts.groupBy("token").agg(F.count("*").alias("texts"), F.min("matches").alias("asked")).where("texts > 1")
     posts = posts.join(common.drop("texts"), "token")
     able = posts.groupBy("rid").agg(
@@ -206,31 +206,32 @@ def _postings(prefixes: DataFrame) -> DataFrame:
     return written(posts.drop("asked").join(able, "rid"), "postings")
 
 
-def _near_sizes(a: str, b: str, percent: int):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _in_prefixes(percent: int):
+    """Whether a shared shingle counts for a pair: with the overlap o that two sets of these sizes
+    need, it must lie in the first n - o + l of both, for the smaller l of the two."""
+    needed = F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
+    asked = F.least("a_matches", "b_matches")
+    return (F.col("a_at") < F.col("a_n") - needed + asked) & (F.col("b_at") < F.col("b_n") - needed + asked)
 
 
 def _enough(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) that share as many prefix shingles as the smaller of their numbers asks for."""
-    asked = F.least("a_matches", "b_matches")
-    seen = F.when(F.greatest("a_level", "b_level") <= asked, 1).otherwise(0)
-    return pairs.groupBy("a", "b").agg(F.sum(seen).alias("seen"), F.first(asked).alias("asked")).where(
-        "seen >= asked"
-    ).select("a", "b")
+    asked = F.first(F.least("a_matches", "b_matches")).alias("asked")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("seen"), asked).where("seen >= asked").select("a", "b")
 
 
 def _side(posts: DataFrame, name: str) -> DataFrame:
-    return posts.select("token", *(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in ("rid", "n", "level", "matches", *(["comp"] if "comp" in posts.columns else []))))
+    return posts.select("token", *(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in ("rid", "n", "at", "matches", *(["comp"] if "comp" in posts.columns else []))))
 
 
 def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
     """Each text with the hubs of its shingles."""
-    best = F.max(F.struct("shared", (-F.col("rid")).alias("low"), "n", "level", "matches")).alias("h")
+    best = F.max(F.struct("shared", (-F.col("rid")).alias("low"), "n", "at", "matches")).alias("h")
     hubs = posts.groupBy("token").agg(best).select(
-        "token", (-F.col("h.low")).alias("a"), F.col("h.n").alias("a_n"), F.col("h.level").alias("a_level"),
+        "token", (-F.col("h.low")).alias("a"), F.col("h.n").alias("a_n"), F.col("h.at").alias("a_at"),
         F.col("h.matches").alias("a_matches"),
     )
-    return _enough(_side(posts, "b").join(hubs, "token").where(F.col("a") != F.col("b")).where(_near_sizes("a_n", "b_n", percent)))
+    return _enough(_side(posts, "b").join(hubs, "token").where((F.col("a") != F.col("b")) & _in_prefixes(percent)))
 
 
 def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -240,8 +241,8 @@ def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     named = named.join(mixed, "token")
     pairs = _side(named, "a").join(_side(named, "b"), "token").where(
-        (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp"))
-    ).where(_near_sizes("a_n", "b_n", percent))
+        (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & _in_prefixes(percent)
+    )
     return _enough(pairs)
 
 

@@ -31,7 +31,7 @@ from .common import table, words
 #: Hashes of a fingerprint, words of a shingle, bits of a hash.
 K, SHINGLE, BITS = 256, 5, 40
 #: Rows of a range of ids, and the most ranges the driver holds the bounds of.
-RANGE_ROWS, MOST_RANGES = 2_000, 100_000
+RANGE_ROWS, MOST_RANGES = 500, 100_000
 
 
 def shingle_hashes(found: Column) -> Column:

@@ -36,7 +36,7 @@ BLOCK = 128
 #: Weights of the sources in order, repeating; total of the mix and cap of a source, in sizes.
 WEIGHTS, TOTAL, MOST = (3, 1, 2), 1.5, 2.0
 #: Documents of a source placed together; slots generated by one row.
-CHUNK, PAGE = 20_000, 4_096
+CHUNK, PAGE = 2_000, 4_096
 ROUNDS, SEED = 16, 20_240_229
 
 

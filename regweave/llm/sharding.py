@@ -55,12 +55,13 @@ def schedule(sizes: list[int], bins: int) -> list[int]:
 def assign(groups: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     """Shards of groups (key binary, size long): of the large ones, of which there are few, and of the rest."""
     spark = groups.sparkSession
+    most = max(BUCKET, 4 * shards)  # else a level would not shrink
     n, total = groups.agg(F.count("*"), F.sum("size")).first()
     least = max(1, -(-(total or 0) // (shards * FINE)))
     large = groups.where(F.col("size") >= least)
     level, steps = groups.where(F.col("size") < least), []
-    while n > BUCKET:
-        buckets = -(-n // BUCKET)
+    while n > most:
+        buckets = -(-n // most)
 
         def deal(part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values(["size", "key"], ascending=[False, True])

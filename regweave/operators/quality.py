@@ -460,7 +460,7 @@ def run_checks(
         try:
             return build().collect()
         except Exception as error:  # noqa: BLE001 - a broken check must cost one line
-            return [(label, FAIL, "error", None, str(error)[:200], None)]
+            return [(label, FAIL, "error", None, str(error), None)]
 
     families = [c for c in checks if isinstance(c, Family)]
     try:

@@ -1,10 +1,10 @@
 """Job entry point, for ``spark-submit`` or ``python -m regweave``.
 
-    python -m regweave STORE ingest ARCHIVE [--force] [--public] [--only TABLE ...]
+    python -m regweave STORE ingest ARCHIVE ... [--force] [--public] [--only TABLE ...]
     python -m regweave STORE build
-    python -m regweave STORE all ARCHIVE [--force] [--public] [--only TABLE ...]
+    python -m regweave STORE all ARCHIVE ... [--force] [--public] [--only TABLE ...]
     python -m regweave STORE qa [--only-problems] [--json PATH]
-    python -m regweave STORE query SQL [--limit N]
+    python -m regweave STORE query SQL [--limit N | --csv PATH]
     python -m regweave STORE export PATH [--table NAME | --sql SQL]
     python -m regweave STORE info
 """
@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession, functions as F
 from regweave.operators import quality
 from regweave.plans import build as plans
 from regweave.plans.landing import drift, land_archive
-from regweave.session import ENGINE_CONF, shared_folder
+from regweave.session import ENGINE_CONF
 from regweave.sources.storage import Store
 
 
@@ -29,7 +29,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("ingest", "all"):
         command = commands.add_parser(name)
-        command.add_argument("archive")
+        command.add_argument("archive", nargs="+", help="archives that together make one extract")
         command.add_argument("--force", action="store_true", help="land again what is there")
         command.add_argument("--public", action="store_true", help="withhold personal data")
         command.add_argument("--only", nargs="+", metavar="TABLE")
@@ -40,7 +40,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     qa.add_argument("--json", metavar="PATH")
     query = commands.add_parser("query")
     query.add_argument("sql", help="Spark SQL, or - for standard input")
-    query.add_argument("--limit", type=int, default=40)
+    query.add_argument("--limit", type=int, default=40, help="rows shown")
+    query.add_argument("--csv", metavar="PATH", help="write all rows to PATH (.csv) instead of showing some")
     export = commands.add_parser("export")
     export.add_argument("path")
     export.add_argument("--table", default="crosswalk")
@@ -49,7 +50,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Run one command; the exit status is 1 when a quality check fails."""
+    """Run one command; the exit status is 1 when a quality check fails, 2 for an unknown export format."""
     store = Store(spark, args.store)
     if args.command in ("ingest", "all"):
         if unknown := drift(store, args.archive):
@@ -61,24 +62,37 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         info = plans.build(store)
         print(f"crosswalk rows: {info.crosswalk_rows:,}\nwater_system rows: {info.water_system_rows:,}")
     elif args.command == "info":
-        plans.info_listing(store).orderBy("table").show(100, truncate=False)
+        counts = {r.table: r for r in plans.info_listing(store).collect()}  # a row for each registered table
+        for name, r in sorted(counts.items()):
+            print(f"{name:<24}{f'{r.n:,}' if r.n else '-':>16}  {r.grain}")
+        print(f"{'total':<24}{sum(r.n or 0 for r in counts.values()):>16,}")
     elif args.command == "qa":
         report = plans.run_quality(store)
         shown = report.filter(F.col("status") != quality.OK) if args.only_problems else report
         if args.json:
             plans.export_report(report, args.json, only_problems=args.only_problems)
         else:
-            shown.withColumn("sample", F.slice("sample", 1, 10)).show(1000, truncate=False)
+            for r in shown.collect():  # one short line for each check
+                samples = ", ".join(f"{s.key} ({s.n})" for s in r.sample or ())
+                print(f"{r.status:<6}{r.name:<56}{r.value or '-':<24}{r.detail or ''} {samples}".rstrip())
         counts = {r.status: r.n for r in quality.tally(report).collect()}
         print(", ".join(f"{n} {status}" for status, n in sorted(counts.items())))
         return int(counts[quality.FAIL] > 0)
     elif args.command == "query":
         sql = sys.stdin.read() if args.sql == "-" else args.sql
-        plans.open_layers(store).query(spark, sql).show(args.limit, truncate=False)
+        rows = plans.open_layers(store).query(spark, sql)
+        if args.csv:
+            plans.export(rows, args.csv)
+        else:
+            rows.show(args.limit, truncate=False)
     elif args.command == "export":
         layers = plans.open_layers(store)
         frame = layers.query(spark, args.sql) if args.sql else layers.relation(args.table)
-        plans.export(frame, args.path)
+        try:
+            plans.export(frame, args.path)
+        except plans.UnknownFormat as error:
+            print(error, file=sys.stderr)
+            return 2
     return 0
 
 
@@ -87,9 +101,7 @@ def main(argv: list[str]) -> int:
     builder = SparkSession.builder.appName("regweave")
     for key, value in {"spark.ui.enabled": "false", **ENGINE_CONF}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    shared_folder(spark)
-    return run(spark, args)
+    return run(builder.getOrCreate(), args)
 
 
 if __name__ == "__main__":

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from regweave.operators.clean import clean_frame
 from regweave.registry import LINK_KEY, LINK_TABLES, PACKED_LINKS, REGISTRY_KEY, SPECS
 
+#: view names belong to the session, so queries take turns to use them
+_VIEWS = RLock()
+
 
 @dataclass(frozen=True)
 class Layers:
     """Raw tables, their normalised form, and the tables built from them.
 
     Only what is listed here belongs to the build, so tables of an older build
-    open in the same session are never mistaken for this one's.
+    open in the same session are never mistaken for this one's; ``query`` sees no others.
     """
 
     raw: dict[str, DataFrame]
@@ -41,13 +45,17 @@ class Layers:
             return self.built[name]
         return self.raw[name[4:]] if name.startswith("raw_") else self.clean(name)
 
-    def register(self) -> list[str]:
-        """Make every relation a temporary view; returns their names."""
-        for name in self.names:
-            self.relation(name).createOrReplaceTempView(name)
-        return sorted(self.names)
-
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
-        """Any Spark SQL over the raw, normalised and built relations."""
-        self.register()
-        return spark.sql(sql)
+        """One Spark SQL query over the raw, normalised and built relations.
+
+        Their views exist only while the query is analysed, so no relation of another
+        build answers. As a subquery the text can only read.
+        """
+        with _VIEWS:
+            try:
+                for name in self.names:
+                    self.relation(name).createOrReplaceTempView(name)
+                return spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+            finally:
+                for name in self.names:
+                    spark.catalog.dropTempView(name)

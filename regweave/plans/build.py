@@ -17,6 +17,10 @@ from regweave.sources.storage import Store
 BUILT = ("crosswalk", "crosswalk_sources", "water_system")
 
 
+class UnknownFormat(ValueError):
+    """An export's suffix names no format."""
+
+
 @dataclass
 class Built:
     tables: list[str]
@@ -65,7 +69,7 @@ def build(store: Store, *, with_crosswalk: bool = True) -> Built:
     return info
 
 
-def run_all(store: Store, archive: str, **landing) -> Built:
+def run_all(store: Store, archive: str | list[str], **landing) -> Built:
     landed = land_archive(store, archive, **landing)
     info = build(store)
     info.landed = landed
@@ -105,7 +109,7 @@ def export(frame: DataFrame, path: str) -> None:
         options = {"header": True, "sep": separator, "escape": '"'}
         flatten_arrays(frame).write.mode("overwrite").options(**options).csv(path)
     else:
-        raise ValueError(f"cannot export to .{suffix}: use .parquet, .csv or .tsv")
+        raise UnknownFormat(f"cannot export to .{suffix}: use .parquet, .csv or .tsv")
 
 
 def export_report(report: DataFrame, path: str, *, only_problems: bool = False) -> None:

@@ -1,33 +1,34 @@
-"""CSV members of a zip archive as rows of raw records.
+"""CSV members of zip archives as raw records.
 
 Spark has no zip reader, and a deflate stream can only be read front to back, so
-one task per member inflates and cuts it into records. It holds a single block at
-a time; its output is spread over the cluster, where all further work happens.
+one task per member inflates it and cuts it where records end. It holds a single
+block at a time; its output is spread over the cluster, where all further work -
+repair, splitting into fields, writing - happens.
 """
 
 from __future__ import annotations
 
-import io
+import re
 import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import csv as pa_csv, fs as pa_fs
+from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regweave.registry import registry_frame
+from regweave.sources.records import header_names, repair_records
 
-MANIFEST_SCHEMA = "archive string, member string, size bigint, header array<string>"
-RECORD_SCHEMA = "member string, block bigint, record binary"
+MEMBER_SCHEMA = "archive string, member string, size bigint, crc bigint, record binary"
+RECORD_SCHEMA = "block bigint, record binary"
 READ_SIZE = 1 << 20
-#: a record beyond this is taken for an unbalanced quote
-MAX_RECORD = 1 << 26
-#: partitions of a large member, and the least worth a task of a small one
-PARTITION_BYTES = 128 << 20
-LEAST_PARTITION_BYTES = 32 << 20
-_QUOTE, _NEWLINE = ord('"'), ord("\n")
+#: inflated bytes for each partition that repairs and parses a member
+PARTITION_BYTES = 32 << 20
+_QUOTE, _COMMA, _LF, _CR = b'",\n\r'
 _BOM = b"\xef\xbb\xbf"
+#: a quoted field up to its closing quote, which may not have been read yet
+_QUOTED = re.compile(rb'(?:\A|(?<=[,\r\n]))"(?:[^"]+|"")*+"?')
 
 
 def open_binary(uri: str):
@@ -42,31 +43,30 @@ def csv_members(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return [m for m in archive.infolist() if m.filename.upper().endswith(".CSV")]
 
 
-def read_header(stream) -> list[str]:
-    """Column names from the first line; a byte-order mark goes, bad bytes are replaced."""
-    first = stream.read(READ_SIZE).removeprefix(_BOM).split(b"\n", 1)[0].rstrip(b"\r")
-    text = first.decode("utf-8", errors="replace")
-    return pa_csv.read_csv(io.BytesIO(text.encode() + b"\n")).column_names
-
-
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()),
-                        ("header", pa.list_(pa.string()))])
+                        ("crc", pa.int64()), ("record", pa.binary())])
     for batch in batches:
         for uri in batch.column("archive").to_pylist():
             rows = []
             with open_binary(uri) as file, zipfile.ZipFile(file) as archive:
                 for member in csv_members(archive):
                     with archive.open(member) as stream:
-                        rows.append({"archive": uri, "member": member.filename,
-                                     "size": member.file_size, "header": read_header(stream)})
-            yield pa.RecordBatch.from_pylist(rows, schema)
+                        first = next(cut_records(stream), None)
+                    rows.append((uri, member.filename, member.file_size, member.CRC,
+                                 None if first is None else first[0].as_py()))
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
 
 
 def manifest(spark: SparkSession, archives: list[str]) -> DataFrame:
-    """The CSV members of archives, with their uncompressed size and header."""
+    """The CSV members of archives: uncompressed size, checksum and header.
+
+    The header is the first record, repaired like any other.
+    """
     paths = spark.createDataFrame([(a,) for a in archives], "archive string")
-    return paths.repartition(len(archives)).mapInArrow(_list_members, MANIFEST_SCHEMA)
+    first = paths.repartition(len(archives)).mapInArrow(_list_members, MEMBER_SCHEMA)
+    listing = repair_records(first, keep_blank=True)
+    return listing.select("archive", "member", "size", "crc", header_names(F.col("text")).alias("header"))
 
 
 def unregistered_members(spark: SparkSession, listing: DataFrame) -> DataFrame:
@@ -75,32 +75,56 @@ def unregistered_members(spark: SparkSession, listing: DataFrame) -> DataFrame:
     return listing.select("member").distinct().join(known, "member", "left_anti").orderBy("member")
 
 
+def _record_ends(data: bytes, final: bool) -> np.ndarray:
+    """Where records end for certain: after a line end outside quotes.
+
+    A quote opens only at the start of a field. While every quote that would open
+    by counting stands there, or continues a doubled quote, counting them decides;
+    otherwise the quoted fields are searched one by one.
+    """
+    codes = np.frombuffer(data, dtype=np.uint8)
+    breaks = (codes == _LF) | (codes == _CR)
+    # CR LF is one line end, and a CR read last may be half of one.
+    breaks[:-1] &= ~((codes[:-1] == _CR) & (codes[1:] == _LF))
+    breaks[-1] &= final or codes[-1] != _CR
+    at = np.flatnonzero(breaks)
+    quotes = np.flatnonzero(codes == _QUOTE)
+    if not len(quotes):
+        return at + 1
+    opening = quotes[::2]
+    before = codes[opening - 1]
+    edge = (opening == 0) | np.isin(before, (_COMMA, _LF, _CR)) | (before == _QUOTE)
+    if edge.all():
+        return at[np.searchsorted(quotes, at) % 2 == 0] + 1
+    spans = np.array([m.span() for m in _QUOTED.finditer(data)], dtype=np.int64).reshape(-1, 2)
+    inside = np.searchsorted(spans[:, 0], at) > np.searchsorted(spans[:, 1], at, side="right")
+    return at[~inside] + 1
+
+
 def cut_records(stream, read_size: int = READ_SIZE) -> Iterator[pa.BinaryArray]:
-    """Blocks of whole CSV records as byte arrays, without a Python loop per row.
+    """Blocks of whole CSV records as byte arrays.
 
-    A line break ends a record when the quotes before it are balanced. Where the
-    reads fall makes no difference to the records.
+    LF, CR LF and CR end a record outside quotes; where the reads fall makes no
+    difference. A record may be as long as an Arrow value (2 GB).
     """
-    carry = b""
-    while chunk := stream.read(read_size):
+    carry = stream.read(len(_BOM)).removeprefix(_BOM)
+    while True:
+        # Reading as much as is carried keeps the work on one long record linear.
+        chunk = stream.read(max(read_size, len(carry)))
         data = carry + chunk
-        codes = np.frombuffer(data, dtype=np.uint8)
-        balanced = np.cumsum(codes == _QUOTE, dtype=np.int64) % 2 == 0
-        ends = np.flatnonzero((codes == _NEWLINE) & balanced) + 1
-        if len(ends) == 0:
-            if len(data) > MAX_RECORD:
-                raise ValueError(f"a record exceeds {MAX_RECORD} bytes: unbalanced quote?")
-            carry = data
-            # Doubling the read keeps the work on one long record linear.
-            read_size = max(read_size, len(data))
-            continue
-        offsets = np.concatenate(([0], ends)).astype(np.int32)
-        yield pa.BinaryArray.from_buffers(
-            pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-        )
-        carry = data[ends[-1]:]
-    if carry:
-        yield pa.array([carry], pa.binary())
+        if not data:
+            return
+        ends = _record_ends(data, final=not chunk)
+        if not chunk and (len(ends) == 0 or ends[-1] < len(data)):
+            ends = np.append(ends, len(data))
+        if len(ends):
+            offsets = np.concatenate(([0], ends)).astype(np.int32)
+            yield pa.BinaryArray.from_buffers(
+                pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+            )
+        if not chunk:
+            return
+        carry = data[ends[-1]:] if len(ends) else data
 
 
 def _inflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +135,8 @@ def _inflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for number, records in enumerate(cut_records(stream)):
                         if number == 0:
                             records = records.slice(1)  # the header
-                        size = len(records)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(row["member"], size), pa.repeat(pa.scalar(number, pa.int64()), size), records],
-                            names=["member", "block", "record"],
-                        )
+                        blocks = pa.repeat(pa.scalar(number, pa.int64()), len(records))
+                        yield pa.RecordBatch.from_arrays([blocks, records], names=["block", "record"])
 
 
 def member_records(spark: SparkSession, archive: str, member: str, size: int) -> DataFrame:
@@ -125,9 +146,5 @@ def member_records(spark: SparkSession, archive: str, member: str, size: int) ->
     lost executor sends every record to the same place.
     """
     entry = spark.createDataFrame([(archive, member)], "archive string, member string").coalesce(1)
-    records = entry.mapInArrow(_inflate, RECORD_SCHEMA)
-    idle = min(spark.sparkContext.defaultParallelism, size // LEAST_PARTITION_BYTES)
-    partitions = max(1, -(-size // PARTITION_BYTES), idle)
-    if partitions == 1:
-        return records.select("record")
-    return records.repartition(partitions, F.col("block")).select("record")
+    partitions = -(-size // PARTITION_BYTES) or 1
+    return entry.mapInArrow(_inflate, RECORD_SCHEMA).repartition(partitions, F.col("block")).select("record")

@@ -7,7 +7,7 @@ split, and one pass serves all its columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from regweave.functions import repair
 from regweave.functions.text import NULL_TOKENS, null_tokens_to_null
@@ -21,8 +21,18 @@ _CSV_OPTIONS = {
 }
 
 
-def repair_records(records: DataFrame) -> DataFrame:
-    """Replace the binary ``record`` by its repaired ``text`` and repair counts."""
+#: bytes that leave nothing of a record: the control bytes and line ends
+_BLANK = bytes(b for b in range(32) if b != 9)
+
+
+def repair_records(records: DataFrame, *, keep_blank: bool = False) -> DataFrame:
+    """Replace the binary ``record`` by its repaired ``text`` and repair counts.
+
+    Blank records are no rows. They are told by their raw bytes: a filter on the
+    repaired text would be pushed below the exchange and repair everything twice.
+    """
+    if not keep_blank:
+        records = records.filter(F.octet_length(F.btrim("record", F.lit(_BLANK))) > 0)
     staged = (
         records.withColumn("_raw", repair.byte_text(F.col("record")))
         .withColumn("_stripped", repair.strip_control(F.col("_raw")))
@@ -38,6 +48,15 @@ def repair_records(records: DataFrame) -> DataFrame:
     )
 
 
+def header_names(line: Column) -> Column:
+    """The column names that a repaired header record holds."""
+    # A field is quoted, its quotes doubled, or runs to the next comma.
+    field = r'((?:"[^"]*+(?:""[^"]*+)*+")?[^,]*+),'
+    cells = F.regexp_extract_all(F.concat(F.rtrim(line, F.lit("\r\n")), F.lit(",")), F.lit(field), F.lit(1))
+    bare = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), bare(c)).otherwise(c))
+
+
 def parse_records(
     repaired: DataFrame,
     header: list[str],
@@ -48,13 +67,13 @@ def parse_records(
 ) -> DataFrame:
     """Split repaired records into text columns named by the header.
 
-    Blank records are no rows. A record with the wrong number of fields is kept
+    A record with the wrong number of fields is kept
     and counted as malformed in the audit; the caller decides what that means.
     """
     line = F.rtrim("text", F.lit("\r\n"))
     fields = [f"c{i} STRING" for i in range(len(header))] + [f"{MALFORMED} STRING"]
-    split = repaired.withColumn("text", line).filter(F.length("text") > 0).withColumn(
-        "row", F.from_csv("text", ", ".join(fields), _CSV_OPTIONS)
+    split = repaired.withColumn(
+        "row", F.from_csv(line, ", ".join(fields), _CSV_OPTIONS)
     )
     if audit is not None:
         split = split.observe(

@@ -51,6 +51,10 @@ class Store:
     def has(self, name: str) -> bool:
         return self.current(name) is not None
 
+    def exists(self, name: str) -> bool:
+        folder = self._path(name)
+        return self._files(folder).exists(folder)
+
     def read(self, name: str) -> DataFrame:
         path = self.current(name)
         if path is None:

@@ -14,8 +14,8 @@ from regweave.operators.compare import IncomparableBuilds, link_diff, report_dif
 from regweave.operators.privacy import PersonalTable
 from regweave.plans import build as plans
 from regweave.plans.landing import AUDIT, MalformedRows, EmptyMember, drift, land_archive, land_table, raw_name
-from regweave.registry import PERSONAL_COLUMNS, SPECS, specs_by_member
-from regweave.sources.archive import cut_records, manifest, read_header
+from regweave.registry import LINK_SOURCES, PERSONAL_COLUMNS, SPECS
+from regweave.sources.archive import cut_records, manifest, member_records
 from regweave.sources.records import parse_records, repair_records
 from regweave.sources.storage import Store
 from regweave.streaming.drops import land_drops
@@ -33,13 +33,13 @@ def test_every_table_lands_with_its_rows(built):
 
 def test_control_bytes_empty_the_field_but_keep_the_row(built):
     result = landed(built)["mailing_address"]
-    assert (result.rows, result.control_bytes, result.utf8_repaired) == (2, 27, False)
+    assert (result.rows, result.control_bytes, result.bad_bytes) == (2, 27, 0)
 
 
 def test_bad_utf8_is_repaired_and_counted(built):
     store, _ = built
     result = landed(built)["alternative_name"]
-    assert (result.bad_bytes, result.utf8_repaired, result.source_replacements) == (1, True, 0)
+    assert (result.bad_bytes, result.source_replacements) == (1, 0)
     name = store.read("raw/alternative_name").first().ALTERNATIVE_NAME
     assert name == "ACME 90� WORKS"
 
@@ -88,7 +88,7 @@ def test_crosswalk_rows_and_provenance(built):
 
 def test_crosswalk_sources_in_scan_order(built):
     rows = built[0].read("crosswalk_sources").orderBy("scan_order").collect()
-    assert [r.source_table for r in rows] == lk.scanned_sources(SPECS)
+    assert [r.source_table for r in rows] == list(LINK_SOURCES)
     assert len(rows) == 10 and rows[-1].source_table == "facility_acrnms"
 
 
@@ -152,7 +152,7 @@ def test_public_landing_leaves_no_personal_data(spark, mini_archive, tmp_path):
 def test_a_personal_table_cannot_be_filtered(spark, mini_archive, tmp_path):
     entry = manifest(spark, [mini_archive]).filter(F.col("member") == SPECS["contact"].member).first()
     with pytest.raises(PersonalTable):
-        land_table(Store(spark, str(tmp_path)), entry, SPECS["contact"], public=True)
+        land_table(Store(spark, str(tmp_path)), [entry], SPECS["contact"], public=True)
 
 
 def test_public_build_moves_counts_but_no_links(spark, mini_archive, built, tmp_path):
@@ -208,12 +208,105 @@ def test_records_do_not_depend_on_where_reads_fall(size):
 
 
 def test_a_last_record_without_line_end_is_kept():
-    assert [b.to_pylist() for b in cut_records(io.BytesIO(b"a\nb"))] == [[b"a\n"], [b"b"]]
+    assert [r for b in cut_records(io.BytesIO(b"a\nb")) for r in b.to_pylist()] == [b"a\n", b"b"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1 << 20])
+@pytest.mark.parametrize("body, expected", [
+    (b'1,A,5" PIPE,x\n2,"a\nb",c\n', [b'1,A,5" PIPE,x\n', b'2,"a\nb",c\n']),
+    (b'a"b\n"c""\n"d,e"\nf', [b'a"b\n', b'"c""\n"d,e"\n', b"f"]),
+    (b'"x"y"z\n"q"\r\n', [b'"x"y"z\n', b'"q"\r\n']),
+    (b'a,b\r1,"\r"\r2,\r', [b"a,b\r", b'1,"\r"\r', b"2,\r"]),
+    (b'\xef\xbb\xbf"A\n",B\r\n1,2', [b'"A\n",B\r\n', b"1,2"]),
+    (b'"",""""\n5",6"\n"",""\n', [b'"",""""\n', b'5",6"\n', b'"",""\n']),
+    (b"", []),
+])
+def test_quotes_open_at_field_edges_only(body, expected, size):
+    assert [r for block in cut_records(io.BytesIO(body), size) for r in block.to_pylist()] == expected
+
+
+def _cut_by_state(data):
+    """Records by following each byte's state."""
+    out, record, state = [], b"", "edge"
+    for k, c in enumerate(data):
+        byte = data[k:k + 1]
+        record += byte
+        if state == "quoted":
+            state = "maybe" if byte == b'"' else "quoted"
+        elif state == "maybe" and byte == b'"':
+            state = "quoted"
+        elif byte == b'"' and state == "edge":
+            state = "quoted"
+        elif byte in b",\r\n":
+            state = "edge"
+            if byte == b"\n" or (byte == b"\r" and data[k + 1:k + 2] != b"\n"):
+                out.append(record)
+                record = b""
+        else:
+            state = "plain"
+    return out + [record] if record else out
+
+
+def test_records_of_random_bytes():
+    rng = random.Random(3)
+    for _ in range(3000):
+        data = "".join(rng.choice('ab,"""\r\n') for _ in range(rng.randrange(40))).encode()
+        got = [r for block in cut_records(io.BytesIO(data), rng.choice([1, 3, 1000])) for r in block.to_pylist()]
+        assert got == _cut_by_state(data), data
+
+
+def test_lone_quotes_lose_no_row(spark, tmp_path):
+    rows = [b'1,A,%d" PIPE,0941' % k if k % 400 == 7 else b"1,A,id%d,0941" % k for k in range(1002)]
+    body = b"REGISTRY_ID,PGM_SYS_ACRNM,PGM_SYS_ID,SIC_CODE\r" + b"\r".join(rows)
+    archive = write_archive(tmp_path / "a.zip", {SPECS["sic"].member: body})
+    store = Store(spark, str(tmp_path / "s"))
+    result = land_archive(store, archive, only=["sic"])[0]
+    assert (result.rows, result.malformed_rows) == (1002, 0)
+    raw = store.read("raw/sic")
+    assert raw.filter("SIC_CODE = '0941'").count() == 1002
+    assert {r[0] for r in raw.filter("PGM_SYS_ID LIKE '%PIPE'").select("PGM_SYS_ID").collect()} == {
+        '7" PIPE', '407" PIPE', '807" PIPE'}
+
+
+def test_archives_of_one_extract_add_up_and_others_replace(spark, tmp_path):
+    def one(name, ids):
+        rows = [{**ROWS["sic"][0], "PGM_SYS_ID": i} for i in ids]
+        return write_archive(tmp_path / name, {SPECS["sic"].member: csv_bytes("sic", rows)})
+
+    store = Store(spark, str(tmp_path / "s"))
+    first, second = one("1.zip", "ab"), one("2.zip", "cde")
+    both = land_archive(store, [first, second], only=["sic"])[0]
+    assert both.rows == 5 and store.read("raw/sic").count() == 5
+    assert land_archive(store, [first, second], only=["sic"])[0].reused
+    assert [r.rows for r in land_archive(store, second, only=["sic"])] == [3]
+    one("2.zip", "xyzw")  # new content under the old name
+    assert [(r.rows, r.reused) for r in land_archive(store, second, only=["sic"])] == [(4, False)]
+
+
+def test_a_failing_member_leaves_the_others_audited(spark, tmp_path):
+    archive = write_archive(tmp_path / "a.zip", {SPECS["sic"].member: csv_bytes("sic") + b"1,2\n",
+                                                 SPECS["naics"].member: csv_bytes("naics")})
+    store = Store(spark, str(tmp_path / "s"))
+    with pytest.raises(MalformedRows):
+        land_archive(store, archive, only=["sic", "naics"])
+    assert [r.table for r in spark.read.parquet(f"{store.root}/{AUDIT}").collect()] == ["naics"]
+
+
+def test_repair_runs_once_and_after_the_exchange(spark, mini_archive):
+    entry = manifest(spark, [mini_archive]).filter(F.col("member") == SPECS["sic"].member).first()
+    rows = parse_records(repair_records(member_records(spark, mini_archive, entry.member, 1 << 30)), entry.header)
+    shown = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = shown.split("RepartitionByExpression")
+    assert above.count("is_valid_utf8") + above.count("make_valid") <= 1 and "decode" not in below
+    assert "valid" not in below
 
 
-def test_header_bom_and_bad_bytes():
-    assert read_header(io.BytesIO(b'\xef\xbb\xbf"A","B C"\r\n1,2\n')) == ["A", "B C"]
-    assert read_header(io.BytesIO(b"A,B\xb0\n")) == ["A", "B�"]
+def test_header_bom_and_bad_bytes(spark, tmp_path):
+    heads = {"A.csv": b'\xef\xbb\xbf"A","B ""C"""\r\n1,2\n', "B.csv": b"A,B\xb0\n", "C.csv": b"",
+             "D.csv": b'S\x00IC,"x\ny",,"p,q"\n1,2,3,4\n'}
+    rows = manifest(spark, [write_archive(tmp_path / "h.zip", heads)]).collect()
+    assert {r.member: r.header for r in rows} == {
+        "A.csv": ["A", 'B "C"'], "B.csv": ["A", "B�"], "C.csv": None, "D.csv": ["SIC", "x\ny", "", "p,q"]}
 
 
 def test_random_bytes_repair_like_a_replacing_decoder(spark):

@@ -6,6 +6,7 @@ from functools import cache
 
 from regweave.functions.codes import COUNTRY_SPELLINGS, STATE_NUMBERS
 from regweave.functions.text import NULL_TOKENS
+from regweave.operators.quality import MARKED_COLUMNS
 from regweave.registry import (
     LINK_SOURCES, LINK_TABLES, PACKED_SOURCE, PERSONAL_COLUMNS, SPECS, spec_names,
 )
@@ -371,10 +372,9 @@ ORACLE: dict[str, str] = {
     "coordinate_coverage": _ctes("facility") +
         "SELECT count(*) AS total, count(LATITUDE83) AS present, "
         f"count(*) FILTER ({_UNMAPPABLE}) AS unusable FROM facility",
-    "marker_chars": _ctes("raw_facility", "raw_alternative_name", "raw_organization") +
-        "SELECT 'facility' AS source_table, count(*) FILTER (PRIMARY_NAME LIKE '%�%') AS n FROM raw_facility "
-        "UNION ALL SELECT 'alternative_name', count(*) FILTER (ALTERNATIVE_NAME LIKE '%�%') FROM raw_alternative_name "
-        "UNION ALL SELECT 'organization', count(*) FILTER (ORG_NAME LIKE '%�%') FROM raw_organization",
+    "marker_chars": _ctes(*dict.fromkeys(f"raw_{t}" for t, _ in MARKED_COLUMNS)) + " UNION ALL ".join(
+        f"SELECT '{t}' AS source_table, '{c}' AS source_column, count(*) FILTER ({c} LIKE '%�%') AS n FROM raw_{t}"
+        for t, c in MARKED_COLUMNS),
     "qa_report": _REPORT_CTES + _REPORT,
     "qa_samples": _REPORT_CTES + _SAMPLES,
     "qa_tally": _REPORT_CTES +

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,12 +14,11 @@ from regweave.functions.dates import bare_date, century_adjusted, has_text, pivo
 from regweave.functions.text import fold_text, fold_upper, null_tokens_to_null
 from regweave.layers import Layers
 from regweave.operators import integrity, links as lk, quality
-from regweave.operators.compare import link_diff, report_diff
+from regweave.operators.compare import report_diff
 from regweave.operators.clean import COUNTY, RAW_STATE
 from regweave.operators.privacy import withhold
 from regweave.operators.subset import water_system
 from regweave.registry import PERSONAL_TABLES, registry_frame
-from regweave.session import shared_folder
 from regweave.sources.records import parse_records, repair_records
 from workload.bindings import BASE_TABLES, date_text, raw_table, raw_tables, table
 
@@ -170,12 +170,8 @@ def water_systems(spark, sf_dir):
 
 
 def program_pivot(spark, sf_dir):
-    # The pivot reads the links twice; a build has them as a table, here a
-    # checkpoint in the shared folder stands in for it.
-    shared_folder(spark)
-    links = build_crosswalk(spark, sf_dir).checkpoint()
-    pivot = lk.program_pivot(links, PIVOT_ACRONYMS)
-    return _flat(pivot, *[lk.pivot_column(a) for a in PIVOT_ACRONYMS]).drop("part")
+    pivot = lk.program_pivot(build_crosswalk(spark, sf_dir), PIVOT_ACRONYMS)
+    return _flat(pivot, *[lk.pivot_column(a) for a in PIVOT_ACRONYMS])
 
 
 def facility_lookup(spark, sf_dir):
@@ -263,11 +259,12 @@ def coordinate_coverage(spark, sf_dir):
 
 def marker_chars(spark, sf_dir):
     raw = raw_tables(spark, sf_dir)
-    marks = {t: F.count_if(F.col(c).contains(repair.REPLACEMENT))
-             for t, c in (("facility", "PRIMARY_NAME"), ("alternative_name", "ALTERNATIVE_NAME"),
-                          ("organization", "ORG_NAME"))}
-    parts = [raw[t].agg(n.alias("n")).select(F.lit(t).alias("source_table"), "n") for t, n in marks.items()]
-    return parts[0].union(parts[1]).union(parts[2])
+    parts = [
+        raw[t].agg(F.count_if(F.col(c).contains(repair.REPLACEMENT)).alias("n"))
+        .select(F.lit(t).alias("source_table"), F.lit(c).alias("source_column"), "n")
+        for t, c in quality.MARKED_COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _report(spark, sf_dir, without=()):
@@ -298,8 +295,8 @@ def privacy_projection(spark, sf_dir):
 
 def privacy_link_diff(spark, sf_dir):
     """What leaving the personal tables out does to the crosswalk."""
-    whole = build_crosswalk(spark, sf_dir)
-    return _flat(link_diff(whole, build_crosswalk(spark, sf_dir, PERSONAL_TABLES)), "before", "after")
+    masks = lk.link_masks(lk.tagged_union(layers(spark, sf_dir).link_inputs()))
+    return _flat(lk.without_sources(masks, PERSONAL_TABLES), "before", "after")
 
 
 def privacy_report_diff(spark, sf_dir):

@@ -104,5 +104,9 @@ def main(argv: list[str]) -> int:
     return run(builder.getOrCreate(), args)
 
 
-if __name__ == "__main__":
+def command() -> None:
     sys.exit(main(sys.argv[1:]))
+
+
+if __name__ == "__main__":
+    command()

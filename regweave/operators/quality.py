@@ -1,10 +1,10 @@
 """The quality report: measure everything, change nothing, keep a stable shape.
 
 Each check family names the aggregates it needs of each table and the report
-lines they become. A run merges the aggregates of all families, so every table is
-scanned once for them; the few hundred numbers that come out form one row, from
-which the lines are rendered. A family whose input is absent leaves a line that
-says so, and a family that breaks costs one line.
+lines they become. A run merges the aggregates of all families, so a relation is
+scanned once for them; keys, samples and links are further scans. The few hundred
+numbers that come out form one row, from which the lines are rendered. A family whose
+input is absent leaves a line that says so; a table that breaks costs its own lines.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ SAMPLE_TYPE = "array<struct<key:string,n:bigint>>"
 REPORT_SCHEMA = (
     f"name string, status string, value string, value_num bigint, detail string, sample {SAMPLE_TYPE}"
 )
+MEASURE_SCHEMA = f"key string, n bigint, sample {SAMPLE_TYPE}"
 SAMPLE_SIZE = 20
 
 # The text columns searched for replacement characters.
@@ -393,8 +394,12 @@ def unpivot(one_row: DataFrame) -> DataFrame:
     return one_row.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
-def measures(layers: Layers, families: list[Family]) -> DataFrame:
-    """All numbers the families need, as (key, n, sample) rows."""
+#: the check that answers for a job, and its work
+Job = tuple[str, Callable[[], list[DataFrame]]]
+
+
+def _fact_jobs(layers: Layers, families: list[Family]) -> list[Job]:
+    """Per relation, one scan for all aggregates that the families ask of it."""
     facts: dict[str, dict[str, Column]] = {}
     counts: dict[str, dict[str, Column]] = {}
     for family in families:
@@ -402,30 +407,74 @@ def measures(layers: Layers, families: list[Family]) -> DataFrame:
             facts.setdefault(relation, {}).update(columns)
         for relation, columns in family.counts(layers).items():
             counts.setdefault(relation, {}).update(columns)
-    frames = []
-    for relation, aggregates in counts.items():
+
+    def scan(relation: str) -> list[DataFrame]:
         rows = layers.relation(relation).select(*[c.alias(k) for k, c in facts[relation].items()])
-        frames.append(unpivot(rows.agg(*[c.alias(k) for k, c in aggregates.items()])))
-    for family in families:
-        frames += family.frames(layers)
+        return [unpivot(rows.agg(*[c.alias(k) for k, c in counts[relation].items()]))]
+
+    return [(families[0].name, lambda r=r: scan(r)) for r in counts]
+
 
+def _table_counts(frames: dict[str, DataFrame]) -> list[DataFrame]:
+    if not frames:
+        return []
+    return [row_counts(frames).select(
+        F.concat(F.lit("rows."), "table").alias("key"), "n", F.lit(None).cast(SAMPLE_TYPE).alias("sample"))]
+
+
+def _key_jobs(layers: Layers, families: list[Family], *, apart: bool) -> list[Job]:
+    """Row counts, duplicate keys and orphans: of all tables at once, or table by table."""
     kinds = {type(f) for f in families}
-    keyed = {t: f for t, f in layers.raw.items() if REGISTRY_KEY in f.columns}
     counted = dict(layers.raw) if RowCounts in kinds else {}
+    keyed: dict[str, DataFrame] = {}
     if kinds & {FacilityKey, Orphans}:
-        frames.append(unpivot(key_profile(keyed)))
-        counted = {t: f for t, f in counted.items() if t not in keyed}
-    if counted:
-        totals = row_counts(counted)
-        frames.append(totals.select(
-            F.concat(F.lit("rows."), "table").alias("key"), "n",
-            F.lit(None).cast(SAMPLE_TYPE).alias("sample")))
-    if kinds & {CrosswalkAgreement, SingleSourceLinks}:
-        frames.append(unpivot(link_agreement(layers.built["crosswalk"])))
-    if not frames:
-        spark = SparkSession.getActiveSession()
-        return spark.createDataFrame([], f"key string, n bigint, sample {SAMPLE_TYPE}")
-    return reduce(DataFrame.unionByName, frames)
+        keyed = {t: f for t, f in layers.raw.items() if REGISTRY_KEY in f.columns}
+    if not apart:
+        rest = {t: f for t, f in counted.items() if t not in keyed}
+        return [
+            (Orphans.name, lambda: [unpivot(key_profile(keyed))] if keyed else []),
+            (RowCounts.name, lambda: _table_counts(rest)),
+        ]
+    parent = {t: f for t, f in keyed.items() if t == "facility"}
+    return [
+        *((Orphans.name, lambda t=t: [unpivot(key_profile({**parent, t: keyed[t]}))]) for t in keyed),
+        *((RowCounts.name, lambda t=t: _table_counts({t: counted[t]})) for t in counted),
+    ]
+
+
+def measuring(layers: Layers, families: list[Family], *, apart: bool = False) -> list[Job]:
+    """Jobs that give all numbers the families need, as (key, n, sample) rows.
+
+    ``apart`` gives every family and table a job of its own, so that none can
+    spoil another's numbers; some of these are then given by several jobs.
+    """
+    groups = [[f] for f in families] if apart or not families else [families]
+    jobs = [job for group in groups for job in _fact_jobs(layers, group)]
+    jobs += [(f.name, lambda f=f: f.frames(layers)) for f in families]
+    jobs += _key_jobs(layers, families, apart=apart)
+    if {type(f) for f in families} & {CrosswalkAgreement, SingleSourceLinks}:
+        jobs.append((CrosswalkAgreement.name, lambda: [unpivot(link_agreement(layers.built["crosswalk"]))]))
+    return jobs
+
+
+def _rendered(measured: DataFrame, lines: list[Line], *, gaps: bool = False) -> DataFrame:
+    """The lines over (key, n, sample) rows; with ``gaps`` a line without its number is an error."""
+    entry = F.struct("key", "n")
+    sampled = F.when(F.col("sample").isNotNull(), F.struct("key", "sample"))
+    facts = measured.agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("sample").isNull(), entry))).alias("numbers"),
+        F.map_from_entries(F.collect_list(sampled)).alias("samples"),
+    )
+    report = facts.select(F.inline(F.array(*[line.struct() for line in lines])))
+    if gaps:
+        lost = F.col("value").isNull()
+        report = report.withColumns({
+            "status": F.when(lost, FAIL).otherwise(F.col("status")),
+            "detail": F.when(lost, "its table could not be measured").otherwise(F.col("detail")),
+            "value": F.coalesce("value", F.lit("error")),
+            "emit": F.coalesce("emit", F.lit(True)),
+        })
+    return report.filter("emit").drop("emit")
 
 
 def fused_report(layers: Layers, families: list[Family]) -> DataFrame:
@@ -436,14 +485,41 @@ def fused_report(layers: Layers, families: list[Family]) -> DataFrame:
         if obstacle is None:
             able.append(family)
         lines += [obstacle] if obstacle else family.lines(layers)
-    entry = F.struct("key", "n")
-    sampled = F.when(F.col("sample").isNotNull(), F.struct("key", "sample"))
-    facts = measures(layers, able).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("sample").isNull(), entry))).alias("numbers"),
-        F.map_from_entries(F.collect_list(sampled)).alias("samples"),
-    )
-    rendered = facts.select(F.inline(F.array(*[line.struct() for line in lines])))
-    return rendered.filter("emit").drop("emit")
+    frames = [frame for _, job in measuring(layers, able) for frame in job()]
+    if not frames:
+        frames = [SparkSession.getActiveSession().createDataFrame([], MEASURE_SCHEMA)]
+    return _rendered(reduce(DataFrame.unionByName, frames), lines)
+
+
+def apart_report(spark: SparkSession, layers: Layers, families: list[Family]) -> list[tuple]:
+    """The report where some job fails: every line that can be measured, as usual. The
+    others keep their names and say ``error``; each check concerned adds a line that tells why."""
+    failures: dict[str, dict[str, None]] = {}
+
+    def guarded(name: str, work):
+        try:
+            return work()
+        except Exception as error:  # noqa: BLE001 - it becomes a line of the report
+            failures.setdefault(name, {})[str(error)] = None
+
+    able, lines, measured = [], [], {}
+    for family in families:
+        def prepared(family=family):
+            if obstacle := family.obstacle(layers):
+                return [obstacle], []
+            _fact_jobs(layers, [family])
+            return family.lines(layers), [family]
+
+        shown, ready = guarded(family.name, prepared) or ([], [])
+        lines += shown
+        able += ready
+    for name, job in measuring(layers, able, apart=True):
+        # A handful of numbers from each job.
+        rows = guarded(name, lambda: [row for frame in job() for row in frame.collect()])
+        measured.update({(r.key, r.sample is None): r for r in rows or ()})
+    lines += [fixed(name, FAIL, "error", "; ".join(texts)) for name, texts in failures.items()]
+    frame = spark.createDataFrame(list(measured.values()), MEASURE_SCHEMA)
+    return _rendered(frame, lines, gaps=True).collect()
 
 
 def run_checks(
@@ -451,30 +527,23 @@ def run_checks(
 ) -> DataFrame:
     """Run every check; the report always comes out whole.
 
-    The standard families run as one job. Should that job fail, each runs alone,
-    so that only the broken ones turn into a ``fail`` line. The report is a fixed
-    number of short lines, so holding it on the driver is safe.
+    The standard families run as one job. Should that job fail, their tables are
+    measured one by one. Any other check that raises gives one line. The report is a
+    fixed number of short lines, so holding it on the driver is safe.
     """
-
-    def attempt(build, label):
-        try:
-            return build().collect()
-        except Exception as error:  # noqa: BLE001 - a broken check must cost one line
-            return [(label, FAIL, "error", None, str(error), None)]
-
     families = [c for c in checks if isinstance(c, Family)]
-    try:
-        fused = families and fused_report(layers, families).collect()
-    except Exception:  # noqa: BLE001 - find the broken family below
-        fused = None
     rows = []
-    for check in checks:
-        if fused is not None and isinstance(check, Family):
-            if check is families[0]:
-                rows += fused
-            continue
-        label = check.name if isinstance(check, Family) else getattr(check, "__name__", "check")
-        rows += attempt(lambda check=check: check(layers), label)
+    if families:
+        try:
+            rows += fused_report(layers, families).collect()
+        except Exception:  # noqa: BLE001 - whatever it was shows up again table by table
+            rows += apart_report(spark, layers, families)
+    for check in (c for c in checks if not isinstance(c, Family)):
+        name = getattr(check, "__name__", type(check).__name__)
+        try:
+            rows += check(layers).collect()
+        except Exception as error:  # noqa: BLE001
+            rows.append((name, FAIL, "error", None, str(error), None))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

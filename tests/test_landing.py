@@ -375,6 +375,20 @@ def test_info_and_ad_hoc_sql(spark, built):
     assert {r[0] for r in rows} == {"MP0000211 0000211TP UV", "063503111"}
 
 
+def test_ad_hoc_sql_only_reads_and_sees_no_other_build(spark, built, tmp_path):
+    layers = plans.open_layers(built[0])
+    layers.query(spark, "SELECT * FROM water_system;").count()
+    empty = plans.open_layers(Store(spark, str(tmp_path)))
+    for text in ("SELECT * FROM water_system", "DROP TABLE crosswalk", "INSERT INTO crosswalk SELECT 1, 2, 3, 4, 5"):
+        with pytest.raises(Exception):
+            empty.query(spark, text)
+        if not text.startswith("SELECT"):
+            with pytest.raises(Exception):
+                layers.query(spark, text)
+    rows = layers.query(spark, "WITH c AS (SELECT * FROM crosswalk) SELECT PGM_SYS_ID FROM c ORDER BY 1 DESC -- all").collect()
+    assert [r[0] for r in rows] == sorted((r[0] for r in rows), reverse=True) and len(rows) == 10
+
+
 def test_a_store_without_tables(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     assert plans.build(store).tables == []

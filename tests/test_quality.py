@@ -37,6 +37,21 @@ def test_a_family_that_breaks_while_running_costs_one_line(spark):
     assert lines["facility.registry_id_unique"].status == "ok" and lines["rows.facility"].value == "1"
 
 
+def test_a_table_that_breaks_costs_only_its_own_lines(spark):
+    broken = spark.range(1).selectExpr("raise_error('bad block') AS k").selectExpr(
+        "cast(k AS string) AS REGISTRY_ID", "cast(k AS string) AS START_DATE")
+    good = spark.createDataFrame([("1", "01-JAN-60", "bad")], "REGISTRY_ID string, CREATE_DATE string, UPDATE_DATE string")
+    whole = names(quality.run_checks(spark, Layers({"facility": good, "program": good, "contact": good.selectExpr("REGISTRY_ID", "'' AS START_DATE")})))
+    lines = names(quality.run_checks(spark, Layers({"facility": good, "program": good, "contact": broken})))
+    assert set(whole) <= set(lines)
+    failed = {n for n, r in lines.items() if r.status == "fail"} - {n for n, r in whole.items() if r.status == "fail"}
+    assert {"check_dates", "check_orphans", "orphans.contact", "dates.contact.START_DATE.unparseable"} <= failed
+    assert all("contact" in n or n in ("check_dates", "check_orphans") for n in failed), failed
+    for n in whole:
+        if "contact" not in n:
+            assert lines[n] == whole[n]
+
+
 def test_absent_columns_cost_one_line(spark):
     facility = spark.createDataFrame([("1",), ("1",)], "REGISTRY_ID string")
     lines = names(quality.run_checks(spark, Layers({"facility": facility})))

@@ -6,8 +6,9 @@ y are similar, their prefixes of |x| - a + l shingles (a: the least overlap x al
 at least l of them, for every l. Each text chooses its own l: a longer prefix costs more
 postings but asks candidates to share more of them. With f the summed frequency of a
 prefix, at most f / l candidates pass, so l minimises f + VERIFY * f / l. A pair uses the
-smaller l of the two, and counts the shingles that lie in the prefixes which that l and the
-overlap needed by two sets of their sizes leave.
+smaller l of the two, and the prefixes which that l and the overlap o needed by two sets of
+their sizes leave, n - o + l shingles. Whatever l is, similar sets share one shingle in the
+first n - o + 1: pairs are drawn up there, and each then has its l matches counted once.
 
 How it stays linear where many texts are alike:
 
@@ -194,56 +195,65 @@ def _prefixes(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, coun
 
 def _postings(prefixes: DataFrame) -> DataFrame:
     """Postings (token, rid, n, at, matches, shared) of shingles that two or more prefixes hold,
-    without texts that share too few for any partner."""
-    posts = written(prefixes.select(
-        "rid", "n", "matches", F.posexplode("prefix").alias("at", "token")
-    ).select("token", "rid", "n", F.col("at").cast("long").alias("at"), "matches"), "postings")
+    without texts that share too few for any partner. Only places that count for one match stay."""
+    posts = prefixes.select(
+        "rid", "n", "first", "matches", F.posexplode("prefix").alias("at", "token")
+    ).select("token", "rid", "n", F.col("at").cast("long").alias("at"), "first", "matches")
     common = posts.groupBy("token").agg(F.count("*").alias("texts"), F.min("matches").alias("asked")).where("texts > 1")
     posts = posts.join(common.drop("texts"), "token")
     able = posts.groupBy("rid").agg(
-        F.count("*").alias("shared"), F.min("asked").alias("asked"), F.first("matches").alias("m")
+        F.count("*").alias("shared"), F.min("asked").alias("asked"), F.min("matches").alias("m")
     ).where(F.col("shared") >= F.least("asked", "m")).select("rid", "shared")
-    return written(posts.drop("asked").join(able, "rid"), "postings")
+    return written(posts.where("at < first").drop("asked", "first").join(able, "rid"), "postings")
+
+
+def _needed(percent: int):
+    """The overlap that similar sets of the sizes a_n and b_n have at least."""
+    return F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
 
 
 def _in_prefixes(percent: int):
-    """Whether a shared shingle counts for a pair: with the overlap o that two sets of these sizes
-    need, it must lie in the first n - o + l of both, for the smaller l of the two."""
-    needed = F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
-    asked = F.least("a_matches", "b_matches")
-    return (F.col("a_at") < F.col("a_n") - needed + asked) & (F.col("b_at") < F.col("b_n") - needed + asked)
+    """Whether a shared shingle lies in the first n - o + 1 of both, o the overlap needed: similar
+    sets share one there, whatever number of matches they ask for."""
+    return (F.col("a_at") <= F.col("a_n") - _needed(percent)) & (F.col("b_at") <= F.col("b_n") - _needed(percent))
 
 
-def _enough(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share as many prefix shingles as the smaller of their numbers asks for."""
-    asked = F.first(F.least("a_matches", "b_matches")).alias("asked")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("seen"), asked).where("seen >= asked").select("a", "b")
+def _enough(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share l shingles in the first n - o + l of both prefixes, l the smaller of
+    the numbers of matches they ask for."""
+    for name in ("b", "a"):
+        side = prefixes.select(*(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in ("rid", "n", "matches", "prefix")))
+        pairs = pairs.join(side, name)
+    asked = F.least("a_matches", "b_matches")
+    heads = [F.slice(f"{x}_prefix", F.lit(1), F.greatest(F.col(f"{x}_n") - _needed(percent) + asked, F.lit(0)).cast("int")) for x in "ab"]
+    return pairs.where(F.size(F.array_intersect(*heads)) >= asked).select("a", "b").distinct()
 
 
 def _side(posts: DataFrame, name: str) -> DataFrame:
-    return posts.select("token", *(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in ("rid", "n", "at", "matches", *(["comp"] if "comp" in posts.columns else []))))
+    return posts.select("token", *(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in posts.columns if c != "token"))
 
 
 def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
     """Each text with the hubs of its shingles."""
-    best = F.max(F.struct("shared", (-F.col("rid")).alias("low"), "n", "at", "matches")).alias("h")
+    best = F.max(F.struct("shared", (-F.col("rid")).alias("low"), "n", "at")).alias("h")
     hubs = posts.groupBy("token").agg(best).select(
-        "token", (-F.col("h.low")).alias("a"), F.col("h.n").alias("a_n"), F.col("h.at").alias("a_at"),
-        F.col("h.matches").alias("a_matches"),
+        "token", (-F.col("h.low")).alias("a"), F.col("h.n").alias("a_n"), F.col("h.at").alias("a_at")
     )
-    return _enough(_side(posts, "b").join(hubs, "token").where((F.col("a") != F.col("b")) & _in_prefixes(percent)))
+    texts = _side(posts.select("token", "rid", "n", "at"), "b")
+    return texts.join(hubs, "token").where((F.col("a") != F.col("b")) & _in_prefixes(percent)).select("a", "b").distinct()
 
 
 def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components."""
-    named = posts.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("label", "rid"))
-    named = written(named.drop("label", "shared"), "named")
+    """Pairs of different components that share a shingle where similar sets do."""
+    named = posts.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
+        "token", "rid", "n", "at", F.coalesce("label", "rid").alias("comp")
+    )
+    named = written(named, "named")
     mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     named = named.join(mixed, "token")
-    pairs = _side(named, "a").join(_side(named, "b"), "token").where(
+    return _side(named, "a").join(_side(named, "b"), "token").where(
         (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & _in_prefixes(percent)
-    )
-    return _enough(pairs)
+    ).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -299,10 +309,13 @@ def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
     counts = np.array([r["count"] for r in heavy], dtype=np.int64)
     classes = written(rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rid")), "classes")
     prefixes = _prefixes(docs, size, percent, tokens, counts).join(classes, ["set_key", "rid"], "left_semi")
+    prefixes = written(prefixes.dropDuplicates(["set_key", "rid"]).drop("set_key"), "prefixes")
     posts = _postings(prefixes)
-    near = _verified(written(_star_pairs(posts, percent), "pairs"), docs, size, percent)
+    stars = _enough(_star_pairs(posts, percent), prefixes, percent)
+    near = _verified(written(stars, "pairs"), docs, size, percent)
     labels = components(near)
-    rest = _verified(written(_other_pairs(posts, labels, percent), "pairs"), docs, size, percent)
+    others = _enough(_other_pairs(posts, labels, percent), prefixes, percent)
+    rest = _verified(written(others, "pairs"), docs, size, percent)
     # Hub links stand for their components: a label is linked with its nodes.
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest))
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(

@@ -70,17 +70,21 @@ def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
     return left.join(right, on, how).drop(*(f"_{key}" for key in keys))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """doc_id and text of every row as (doc_id, data): compressed UTF-8, null as empty. For joins that move texts."""
+def packed(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id, text and other columns of every row as (doc_id, data, others): compressed UTF-8, null as empty.
+    For joins that move texts; the others are longs."""
+    names = ["doc_id", "data", *others]
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch):
                 data = [tool.compress(x.encode()) for x in texts_of(part)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
+                columns = [part.column(0), pa.array(data, pa.binary()), *part.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(press, "doc_id long, data binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *others)
+    return rows.mapInArrow(press, "".join(["doc_id long, data binary", *(f", {x} long" for x in others)]))
 
 
 def unpacked(data: bytes) -> bytes:

@@ -9,7 +9,11 @@ together and sorted there:
   the corpus matter, about one in 85 bytes. An anchor's context is all strings it can anchor.
 - Equal contexts of an anchor fold into one, with the number of its places, before
   anything is sorted: a thousand copies send one.
-- An anchor's home is the least document that has it. Documents send the stretches around
+- A text goes by a key, a hash of its id and itself: rows that differ in either are texts of
+  their own, and rows equal in both share their places, which are counted. Keys that clash by
+  chance could only hide a string all of whose places are in the clashing texts, at one offset.
+- An anchor's home is the least id that has it (a null one counts as its row's key): rows of
+  one id have one home, which only groups work. Documents send the stretches around
   anchors to their homes, overlapping contexts as one stretch. A task sorts the suffixes of
   its homes (see suffix_array) and reads repeats off the common prefixes of neighbours.
 - A home that draws more than HOME_CONTEXTS contexts (a phrase in a great many different
@@ -45,7 +49,6 @@ STARTS = DEPTH - GRAM + 1
 HALF = 128
 #: Contexts a home may draw; bytes whose suffixes are sorted together at least.
 HOME_CONTEXTS, BATCH_BYTES = 10_000, 1 << 20
-_NO_ID = -(1 << 63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -109,15 +112,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             rows = []
-            for key, data in zip(part.column(0).to_pylist(), _bytes_of(part)):
+            for key, data, doc in zip(part.column(0).to_pylist(), _bytes_of(part), part.column(2).to_pylist()):
                 at, grams, _ = anchors(data)
                 seen: dict[tuple[int, int], list[int]] = {}
                 for p, g in zip(at.tolist(), grams[at].view(np.int64).tolist()):
                     seen.setdefault((g, context(data, p)[2]), [p, 0])[1] += 1
-                rows += [(g, c, key, p, n) for (g, c), (p, n) in seen.items()]
+                rows += [(g, c, doc, key, p, n) for (g, c), (p, n) in seen.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in zip(*rows)], ["g", "c", "key", "at", "n"]
+                    [pa.array(x, pa.int64()) for x in zip(*rows)], ["g", "c", "doc", "key", "at", "n"]
                 )
 
 
@@ -136,10 +139,10 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in parts(whole):
             rows = []
-            for doc_id, raw, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if doc_id != last:  # rows of one id stand together
-                    last, done = doc_id, set()
-                key, data, found = _NO_ID if doc_id is None else doc_id, unpacked(raw), []
+            for key, raw, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if key != last:  # equal rows stand together
+                    last, done = key, set()
+                data, found = unpacked(raw), []
                 for w in wanted:
                     a, b, c = context(data, w["at"]) if w["at"] + GRAM <= len(data) else (0, 0, None)
                     if c == w["c"] and (w["g"], c) not in done:
@@ -290,22 +293,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key")
-    texts = docs.select(key, "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
+    texts = docs.select("key", "text", F.coalesce("doc_id", "key").alias("doc"))
     twice = written(
         texts.mapInArrow(_anchor_counts, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g"),
         "anchors",
     )
-    places = written(texts.mapInArrow(_contexts, "g long, c long, key long, at long, n long").join(twice, "g"), "places")
-    homes = places.groupBy("g").agg(F.min("key").alias("home"))
-    folded = places.groupBy("g", "c").agg(F.sum("n").alias("n"), F.min(F.struct("key", "at")).alias("p")).join(homes, "g")
+    places = written(texts.mapInArrow(_contexts, "g long, c long, doc long, key long, at long, n long").join(twice, "g"), "places")
+    homes = places.groupBy("g").agg(F.min("doc").alias("home"))
+    folded = places.groupBy("g", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "key", "at")).alias("p")).join(homes, "g")
     folded = written(folded.select("g", "c", "n", "p.key", "p.at", "home"), "folded")
     crowds = folded.groupBy("home").count().where(F.col("count") > HOME_CONTEXTS).select("home", F.lit(True).alias("crowded"))
     wanted = folded.join(crowds, "home", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))).groupBy("key").agg(
         F.collect_list(F.struct("at", "g", "c", "n", "home", "crowded")).alias("wanted")
     )
-    moved = packed(docs).withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID)))
-    sent = written(moved.join(wanted, "key").select("doc_id", "data", "wanted").mapInArrow(_send, _SENT_SCHEMA), "stretches")
+    moved = packed(docs, "key")
+    sent = written(moved.join(wanted, "key").select("key", "data", "wanted").mapInArrow(_send, _SENT_SCHEMA), "stretches")
     stretches, repeats = sent.where(~F.col("crowded")).drop("crowded"), []
     crowded, width = sent.where("crowded").drop("crowded"), HALF
     result = "g long, c long, lo array<long>, hi array<long>"
@@ -318,7 +321,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         crowded = written(many.mapInArrow(halve, _SENT_SCHEMA), "pieces").drop("crowded")
     sorted_ = stretches.repartition("home").sortWithinPartitions("home", "key", "first").mapInArrow(_sort_homes, result)
     repeats = written(reduce(DataFrame.unionByName, repeats, sorted_), "repeats")
-    marks = places.join(repeats, ["g", "c"]).groupBy("key").agg(F.collect_list(F.struct("g", "c", "lo", "hi")).alias("marks"))
+    marks = places.join(repeats, ["g", "c"]).groupBy("key").agg(F.collect_set(F.struct("g", "c", "lo", "hi")).alias("marks"))
     return moved.join(marks, "key", "left").select("doc_id", "data", "marks").mapInArrow(_cut, _CUT)
 
 

@@ -198,6 +198,20 @@ def test_repeats_are_removed(docs, empty, monkeypatch, crowd):
         assert substrings.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [10_000, 1])
+def test_repeats_of_rows_that_share_an_id(spark, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "HOME_CONTEXTS", crowd)
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    heads, copy = [some(260) for _ in range(3)], some(300)
+    rows = [(None, heads[0] + some(700)) for _ in range(2)] + [(7, heads[1] + some(700)) for _ in range(2)]
+    rows += [(7, heads[2] + some(400)), (None, heads[2] + some(400))] + [(None, copy)] * 3 + [(None, some(500))]
+    want = Counter((i, *c) for (i, _), c in zip(rows, brute_cut([t.encode() for _, t in rows])))
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == want
+    assert sum(r.n_removed > 0 for r in got) == 9
+
+
 def brute_cost(roles):
     least = [10**9]
 

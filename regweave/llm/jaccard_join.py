@@ -12,7 +12,7 @@ first n - o + 1: pairs are drawn up there, and each then has its l matches count
 
 How it stays linear where many texts are alike:
 
-- Equal sets are one class; its least id stands for it.
+- Equal sets are one class, with a number of its own; the row of its least id stands for it.
 - Each shared prefix shingle has a hub, the text with most shared prefix shingles. Texts are
   first verified against their hubs only: in a group of copies this links all that are near
   the hub, with one comparison each.
@@ -28,9 +28,11 @@ task keeps a bounded summary of its most frequent shingles (those more frequent
 bounded table, go to every task.
 
 Defined results: a text without words, or null, has an empty set and links with nothing;
-with fewer words than a shingle the whole sequence is its one shingle; rows with the same
-id are one node; rows with a null id are linked by equal sets alone and never name a
-component; an empty table gives no rows.
+with fewer words than a shingle the whole sequence is its one shingle; a row goes by its id
+and a hash of its id and text, so rows with the same id or a null one are linked by their
+texts like all others; a component's first row is that with the least id (null ids last),
+then the least hash, and names it by its id, null where no row of it has one; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -141,11 +143,11 @@ class _Summary:
         return tokens[top], counts[top]
 
 
-_BASE = "doc_id long, n long, set_key binary, token long, count long"
+_BASE = "doc_id long, key long, n long, set_key binary, token long, count long"
 
 
 def _base(docs: DataFrame, size: int) -> DataFrame:
-    """A row (doc_id, n, set_key) for each text, and rows (token, count) of each task's summary."""
+    """A row (doc_id, key, n, set_key) for each text, and rows (token, count) of each task's summary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = _Summary()
@@ -157,40 +159,43 @@ def _base(docs: DataFrame, size: int) -> DataFrame:
                 keys = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 none = pa.nulls(len(sets), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), none, none], names
+                    [
+                        part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(keys, pa.binary()), none, none,
+                    ], names
                 )
         tokens, counts = summary.rows()
         none = pa.nulls(len(tokens), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, pa.nulls(len(tokens), pa.binary()), pa.array(tokens.view(np.int64)), pa.array(counts)], names
+            [none, none, none, pa.nulls(len(tokens), pa.binary()), pa.array(tokens.view(np.int64)), pa.array(counts)], names
         )
 
     return written(docs.mapInArrow(run, _BASE), "sets")
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """doc_id, set_key, n, first, matches and the prefix of every text that may link with others."""
+    """key, set_key, n, first, matches and the prefix of every text that may link with others."""
     frequent = docs.sparkSession.sparkContext.broadcast((tokens, counts))  # at most HEAVY rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _Order(*frequent.value)
         for batch in batches:
             for part in slices(batch):
-                ids = part.column(0).to_pylist()
+                keys = part.column(2).to_pylist()
                 rows = []
-                for doc_id, own in zip(ids, shingle_sets([x or "" for x in part.column(1).to_pylist()], size)):
-                    if doc_id is not None and len(own) and not links_only_equals(len(own), percent):
+                for row_key, own in zip(keys, shingle_sets([x or "" for x in part.column(1).to_pylist()], size)):
+                    if len(own) and not links_only_equals(len(own), percent):
                         prefix, first, matches = order.prefix(own, percent)
                         key = blake2b(own.tobytes(), digest_size=16).digest()
-                        rows.append((doc_id, key, len(own), first, matches, prefix.view(np.int64)))
+                        rows.append((row_key, key, len(own), first, matches, prefix.view(np.int64)))
                 if rows:
                     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        ["rid", "set_key", "n", "first", "matches", "prefix"],
+                        ["key", "set_key", "n", "first", "matches", "prefix"],
                     )
 
-    return docs.mapInArrow(run, "rid long, set_key binary, n long, first long, matches long, prefix array<long>")
+    return docs.mapInArrow(run, "key long, set_key binary, n long, first long, matches long, prefix array<long>")
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
@@ -256,32 +261,37 @@ def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     ).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; a is the hub of its pairs.
 
     Compressed texts travel to the hubs, a third of what their sets would take.
     """
     groups = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / HUB_TEXTS).cast("int").alias("parts"))
     members = pairs.join(groups, "a").select(
-        F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"),
+        F.col("b").alias("rid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"),
         F.lit(1).alias("late"),
     )
     heads = groups.select(
-        F.col("a").alias("doc_id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.col("a").alias("rid"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(0).alias("late"),
     )
-    to = written(members.unionByName(heads), "to")
-    sent = packed(docs).join(to, "doc_id").select("hub", "part", "late", "doc_id", "data")
+    texts = classes.select("rid", F.col("doc_id").alias("_id"), "key")
+    to = written(members.unionByName(heads).join(texts, "rid"), "to")
+    sent = packed(docs, "key").join(to, "key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    sent = sent.select("hub", "part", "late", "rid", "data")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, heads = None, []
+        group, heads, last = None, [], None
         for whole in batches:
             for batch in parts(whole):
                 a, b = [], []
                 sets = shingle_sets([unpacked(x).decode() for x in batch.column(4).to_pylist()], size)
                 for own, hub, part, late, rid in zip(sets, *(batch.column(k).to_pylist() for k in range(4))):
                     if (hub, part) != group:
-                        group, heads = (hub, part), []
+                        group, heads, last = (hub, part), [], None
+                    if (late, rid) == last:  # rows equal in id and text stand together
+                        continue
+                    last = (late, rid)
                     if not late:
                         heads.append(own)
                         continue
@@ -293,44 +303,70 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                             break
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    dealt = sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "late")
+    dealt = sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "late", "rid")
     return written(dealt.mapInArrow(compare, "a long, b long"), "links")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of both, which tells the rows of one id and those of none apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def _first():
+    """The least (id, key) of a group, null ids last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")).alias("h")
+
+
 def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
-    """A row for each row of docs: doc_id, n_shingles, set_key and component_id."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """A row for each row of docs: doc_id, n_shingles, set_key, component_id, key and head.
+
+    `key` tells rows of one id apart; `head` is the key of the component's first row, whose id
+    is component_id.
+    """
+    docs = _keyed(docs)
     base = _base(docs, size)
-    rows = base.where(F.col("set_key").isNotNull()).select("doc_id", "n", "set_key")
+    rows = base.where(F.col("set_key").isNotNull()).select("doc_id", "key", "n", "set_key")
     heavy = base.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count")).where(
         F.col("count") >= OFTEN
     ).orderBy(F.desc("count"), "token").limit(HEAVY).collect()
     tokens = np.array([r["token"] for r in heavy], dtype=np.int64).view(np.uint64)
     counts = np.array([r["count"] for r in heavy], dtype=np.int64)
-    classes = written(rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rid")), "classes")
-    prefixes = _prefixes(docs, size, percent, tokens, counts).join(classes, ["set_key", "rid"], "left_semi")
-    prefixes = written(prefixes.dropDuplicates(["set_key", "rid"]).drop("set_key"), "prefixes")
+    classes = rows.where("n > 0").groupBy("set_key").agg(_first()).select("set_key", "h.doc_id", "h.key")
+    # Numbered as they are written: read again, a class keeps its number.
+    classes = written(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
+    prefixes = _prefixes(docs, size, percent, tokens, counts).join(classes.select("set_key", "key", "rid"), ["set_key", "key"])
+    prefixes = written(prefixes.dropDuplicates(["set_key", "key"]).drop("set_key", "key"), "prefixes")
     posts = _postings(prefixes)
     stars = _enough(_star_pairs(posts, percent), prefixes, percent)
-    near = _verified(written(stars, "pairs"), docs, size, percent)
+    near = _verified(written(stars, "pairs"), docs, classes, size, percent)
     labels = components(near)
     others = _enough(_other_pairs(posts, labels, percent), prefixes, percent)
-    rest = _verified(written(others, "pairs"), docs, size, percent)
+    rest = _verified(written(others, "pairs"), docs, classes, size, percent)
     # Hub links stand for their components: a label is linked with its nodes.
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest))
-    named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "set_key", F.coalesce("label", "rid").alias("component_id")
-    )
+    placed = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+    placed = written(placed.withColumn("label", F.coalesce("label", "rid")), "placed")
+    heads = placed.groupBy("label").agg(_first()).select("label", F.col("h.doc_id").alias("component_id"), F.col("h.key").alias("head"))
+    named = placed.join(heads, "label").select("set_key", "component_id", "head")
     linked = rows.where("n > 0").join(named, "set_key", "left")
-    alone = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "set_key", "component_id")
+    alone = rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("head", F.col("key"))
+    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "set_key", "component_id", "key", "head")
 
 
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, one of each component: that with its least id. Texts without words stay."""
-    found = join(docs, size=size, percent=percent)
-    lost = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs, one of each component: its first, and one of the rows equal to that in id
+    and text. Texts without words stay."""
+    found = join(docs, size=size, percent=percent).where("n_shingles > 0")
+    first = (F.col("key") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    fate = found.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(
+        F.max(first).alias("first"), F.count("*").alias("rows")
+    ).where("not first or rows > 1")
+    fate = written(fate, "fate")
+    rows = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    same = (F.col("_row") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    whole = rows.join(fate, same, "left_anti")
+    folded = rows.join(fate.where("first"), same, "left_semi").dropDuplicates(["doc_id", "_row"])
+    return whole.unionByName(folded).select(*docs.columns)
 
 
 def op8_link_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,6 +152,22 @@ def test_keep_one_of_each_group(docs, empty):
     assert jaccard_join.keep_one(empty).count() == 0
 
 
+def test_keep_one_counts_rows_that_share_an_id(spark):
+    base = ["w%d" % k for k in range(80)]
+    edited = lambda k: " ".join(base[:k] + ["edit"] + base[k + 1:])
+    a, b, c = " ".join(base), "unlike all others in the table", "two rows and no id"
+    rows = [
+        (1, a), (1, a), (1, a), (2, a), (None, a), (None, edited(40)), (None, edited(20)), (2, b),
+        (None, c), (None, c), (3, "one"), (3, "two"), (3, None), (3, None), (None, " "), (None, " "),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.keep_one(table).collect())
+    assert kept == Counter([(1, a), (2, b), (None, c), (3, "one"), (3, "two"), (3, None), (3, None), (None, " "), (None, " ")])
+    found = jaccard_join.join(table, size=5, percent=80).collect()
+    assert len(found) == len(rows)
+    assert Counter(r.component_id for r in found if r.doc_id is None) == Counter({1: 3, None: 4})
+
+
 def test_suffix_arrays():
     import numpy as np
 

@@ -5,7 +5,9 @@ The texts of a source, one after another, are one stream of words, cut into bloc
 target; a source's target stops at `MOST` times its size, so no block is used more
 often than that. A keyed permutation of all slots deals them to output shards: the
 source counts of a shard are a multinomial draw, given the sources' totals, so the
-targets are met and not only expected. The slots of a source run through its blocks in
+targets are met and not only expected. A slot comes out with its shard, and the mix by
+shard in the order of its slots, so what the draw puts together stays together. Slots are
+generated, so Spark takes them for few; the joins say that they are not to be sent whole. The slots of a source run through its blocks in
 a pseudorandom order of their indexes, another one for each pass, and slots and blocks
 meet in a join by (source, block).
 
@@ -147,17 +149,28 @@ def rows_of(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def taken(mix: Mix) -> DataFrame:
-    """Words the mix takes of each document, repeats counted."""
-    times = mix.slots.groupBy("sid", "block").count()
+    """Words the mix takes of each document, repeats counted, and the slots they go to, in order:
+    `places` has shard, slot and the document's words there."""
+    held = F.col("slot").isNotNull()
+    place = F.when(held, F.struct("shard", "slot", "words"))
     return (
-        pieces(mix.docs, "doc_id", "source_size", "target").join(times, ["sid", "block"], "left")
+        pieces(mix.docs, "doc_id", "source_size", "target").join(mix.slots.hint("merge"), ["sid", "block"], "left")
         .groupBy("sid", "row_no", "doc_id", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(F.col("words") * F.col("count")), F.lit(0)).alias("taken"))
+        .agg(
+            F.coalesce(F.sum(F.when(held, F.col("words"))), F.lit(0)).alias("taken"),
+            F.sort_array(F.collect_list(place)).alias("places"),
+        )
     )
 
 
 def mixed(docs: DataFrame, shards: int = 64) -> DataFrame:
-    """The mix as rows of the table: a row for each document's part of each slot's block.
+    """The mix as rows of the table, by shard in the order of its slots (see dealt)."""
+    return dealt(docs, shards).select(*docs.columns)
+
+
+def dealt(docs: DataFrame, shards: int = 64) -> DataFrame:
+    """The mix as rows of the table with `_shard` and `_slot`, in their order: a row for each
+    document's part of each slot's block.
 
     `text` is that part with the white space after its words (what stands before a text's
     first word is lost) and `n_chars`, if there, its length; the other columns are the
@@ -176,9 +189,9 @@ def mixed(docs: DataFrame, shards: int = 64) -> DataFrame:
         b = F.least(F.col("start") + F.col("size"), (block + 1) * BLOCK) - F.col("start")
         return F.struct(block.alias("block"), F.array_join(F.slice("_words", (a + 1).cast("int"), (b - a).cast("int")), "").alias("text"))
 
-    parts = rows.select("sid", "_held", F.explode(F.transform(F.sequence(first, last), cut)).alias("_p")).select("sid", "_held", "_p.*")
-    out = parts.join(mix.slots, ["sid", "block"])
-    columns = []
+    parts = rows.select("sid", "_held", F.explode(F.transform(F.sequence(first, last), cut)).alias("_p"), "start").select("sid", "start", "_held", "_p.*")
+    out = parts.join(mix.slots.hint("merge"), ["sid", "block"]).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot", "start")
+    columns = [F.col("shard").alias("_shard"), F.col("slot").alias("_slot")]
     for name in docs.columns:
         if name == "text":
             columns.append(F.col("text"))
@@ -192,4 +205,4 @@ def mixed(docs: DataFrame, shards: int = 64) -> DataFrame:
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in a mix of 150 % of their words."""
     rows = written(rows_of(table(spark, sf_dir, "documents")), "mix")
-    return taken(plan(rows)).select("doc_id", "size", "source_size", "target", "taken")
+    return taken(plan(rows)).select("doc_id", "size", "source_size", "target", "taken", "places")

@@ -60,6 +60,36 @@ def test_mix_meets_targets_and_caps(docs, empty, monkeypatch):
     assert mixing.taken(mixing.plan(mixing.rows_of(empty))).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_mix_is_dealt_to_shards(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 4)
+    mix = mixing.plan(mixing.written(mixing.rows_of(docs), "t"), 5)
+    rows = mixing.taken(mix).collect()
+    assert all(sum(p.words for p in r.places) == r.taken and r.places == sorted(r.places) for r in rows)
+    got, sizes = {}, Counter()
+    for r in rows:
+        for p in r.places:
+            assert got.setdefault(p.slot, (p.shard, r.sid)) == (p.shard, r.sid)
+            sizes[p.slot] += p.words
+    slots = {s.slot: (s.shard, s.sid) for s in mix.slots.collect()}
+    assert got == slots and max(sizes.values()) == 4
+    size, of = -(-len(slots) // 5), Counter(sid for _, sid in slots.values())
+    counts = Counter(got.values())
+    for shard in range(5):
+        total = sum(n for (k, _), n in counts.items() if k == shard)
+        assert total == min(size, len(slots) - shard * size)
+        for sid, n in of.items():  # a draw without putting back, in five standard deviations
+            share = n / len(slots)
+            assert abs(counts[shard, sid] - total * share) <= 5 * (total * share * (1 - share)) ** 0.5 + 1
+    assert any(counts[0, sid] != counts[1, sid] for sid in of)
+    path = mixing.written(mixing.dealt(docs, 5), "dealt").inputFiles()
+    order = [(r._shard, r._slot) for f in sorted(path) for r in spark.read.parquet(f).collect()]
+    assert order == sorted(order) and set(order) == {(k, s) for s, (k, _) in slots.items()}
+    texts = [r.text for r in mixing.dealt(docs, 5).collect()]
+    assert [r.text for r in mixing.mixed(docs, 5).collect()] == texts
+    monkeypatch.setattr(mixing, "table", lambda *_: docs)
+    assert mixing.op9_mix_sources(spark, "").select("places.shard").count() == docs.count()
+
+
 def shingles(text, size):
     words = WORDS.findall(text or "")
     return frozenset(tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()

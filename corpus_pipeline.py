@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regweave.llm import jaccard_join, mixing, packing, pii, quality
 from regweave.llm.common import table, written
+from regweave.llm.tokens import added_tokens
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the mixed parts."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=added_tokens())
 
 
 STAGES = [

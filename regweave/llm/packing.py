@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import slices, table, texts_of
-from .tokens import default_vocabulary, encoder
+from .tokens import added_tokens, default_vocabulary, encoder
 
 #: Pieces in a task's pool before sequences are closed.
 POOL = 2048
@@ -52,12 +52,13 @@ class Limits:
 
 def pack(
     docs: DataFrame, *, limits: Limits = Limits(), vocabulary: str | None = None, end_id: int = 0,
-    prompt_chars: str | None = None,
+    prompt_chars: str | None = None, added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Pieces of all texts, placed in sequences.
 
     `prompt_chars` names a column with the number of leading characters that bear no
-    loss (the prompt of an instruction); without it every token bears loss.
+    loss (the prompt of an instruction); without it every token bears loss. `added` are
+    tokens outside the vocabulary (string, id) that texts are cut at.
     Sequences are `sequence_id`; a piece is `ids` (unsigned 32-bit, little-endian),
     which are the text's ids from `start` on, and stands at `offset` of its sequence.
     """
@@ -66,7 +67,7 @@ def pack(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", prompt.alias("prompt"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _Packer(limits, encoder(vocabulary, end_id)).run(batches)
+        yield from _Packer(limits, encoder(vocabulary, end_id, added)).run(batches)
 
     return rows.mapInArrow(place, SCHEMA)
 
@@ -170,8 +171,8 @@ class _Packer:
 
 
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in sequences of 1024 tokens."""
-    return pack(table(spark, sf_dir, "documents")).select(
+    """All documents in sequences of 1024 tokens, ids as the vocabulary's tokenizer gives them."""
+    return pack(table(spark, sf_dir, "documents"), added=added_tokens()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
         "loss_tokens",
     )

@@ -43,7 +43,7 @@ def write_flat(docs: DataFrame, path: str, *, vocabulary: str | None = None) ->
     vocabulary = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary)
+        ids_of = encoder(vocabulary)  # without added tokens: only a separator may have the end id
         for batch in batches:
             for part in slices(batch):
                 ids, bounds = ids_of.batch(texts_of(part))

@@ -5,11 +5,16 @@ something else than white space, so a text cut before such spaces gives the same
 ids piece by piece. A task keeps the ids of the pieces it has seen and gathers a
 batch of texts with vector operations. Texts in which white space precedes a space
 are encoded whole.
+
+The vocabulary's tokenizer has added tokens besides, which it finds in a text before
+anything else. An encoder that is given them cuts texts there; one that isn't takes
+their strings for ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from functools import lru_cache
@@ -28,6 +33,14 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> tuple[tuple[str, int], ...]:
+    """String and id of the tokens that the default vocabulary's tokenizer adds."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return tuple((x["content"], x["id"]) for x in json.load(file)["added_tokens"])
+
+
 class _Pieces(dict):
     """Piece -> number of its entry; a missing piece is encoded."""
 
@@ -53,9 +66,9 @@ class _Pieces(dict):
 
 
 class Encoder:
-    """Encodes batches of texts; `end_id`, if given, closes every text."""
+    """Encodes batches of texts; `end_id`, if given, closes every text; `added` are tokens found first."""
 
-    def __init__(self, vocabulary: str, end_id: int | None = None):
+    def __init__(self, vocabulary: str, end_id: int | None = None, added: tuple[tuple[str, int], ...] = ()):
         import public_tokenizers
         import tiktoken
 
@@ -65,6 +78,9 @@ class Encoder:
             "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self._end_id = end_id
+        self._added = dict(added)
+        strings = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(strings) + ")").split if strings else lambda text: (text,)
         self._pieces = _Pieces(self._encode, end_id)
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,12 +90,16 @@ class Encoder:
         known = self._pieces
         codes, counts = [], []
         for text in texts:
-            if _UNEVEN.search(text):
-                numbers = [known.add(self._encode(text))]
-            else:
-                pieces = text.split(" ")
-                pieces[0] = " " + pieces[0]
-                numbers = list(map(known.__getitem__, pieces))
+            numbers = []
+            for k, part in enumerate(self._cut(text)):
+                if k % 2:
+                    numbers.append(known.add([self._added[part]]))
+                elif _UNEVEN.search(part):
+                    numbers.append(known.add(self._encode(part)))
+                else:
+                    pieces = part.split(" ")
+                    pieces[0] = " " + pieces[0]
+                    numbers += map(known.__getitem__, pieces)
             numbers.append(known[_END])
             codes += numbers
             counts.append(len(numbers))
@@ -94,6 +114,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str, end_id: int | None = None) -> Encoder:
+def encoder(vocabulary: str, end_id: int | None = None, added: tuple[tuple[str, int], ...] = ()) -> Encoder:
     """One encoder a Python worker."""
-    return Encoder(vocabulary, end_id)
+    return Encoder(vocabulary, end_id, added)

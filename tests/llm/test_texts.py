@@ -42,6 +42,24 @@ def test_packing_places_every_id_once(docs, ids):
         assert sum(r.length for r in own) <= 64 and len(own) <= 4 and sum(r.loss_tokens for r in own) <= 50
 
 
+def test_packed_ids_are_those_of_the_unaltered_tokenizer(spark, docs, monkeypatch):
+    from regweave.llm.tokens import added_tokens
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, end * 2, f"a {end} b", f"one\n\n {end}  two{end}", f" {end[:-1]} {end}x", f"x  {end} \n y", "no token"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(docs.where("doc_id > 99 or doc_id = 19").select("doc_id", "text"))
+    want = Counter((r.doc_id, tuple(plain.encode(r.text or "", add_special_tokens=False).ids + [0])) for r in table.collect())
+    assert sum(50256 in x for _, x in want) == 7
+    rows = packing.pack(table, added=added_tokens()).where("length = doc_tokens").collect()
+    assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in rows) <= want and len(rows) >= len(want) - 1
+    monkeypatch.setattr(packing, "table", lambda *_: table)
+    packed = packing.op2_pack_documents(spark, "").collect()
+    assert sorted((r.doc_id, r.doc_tokens) for r in packed if not r.start) == sorted((i, len(x)) for i, x in want.elements())
+    crcs = {(i, zlib.crc32(np.array(x, dtype="<u4").tobytes())) for i, x in want}
+    assert all((r.doc_id, r.ids_crc32) in crcs for r in packed if r.length == r.doc_tokens)
+
+
 def test_packing_fills_sequences(docs):
     rows = packing.pack(docs.coalesce(1)).groupBy("sequence_id").sum("length").collect()
     assert sorted(r[1] for r in rows)[1:] == [1024] * (len(rows) - 1)

@@ -9,6 +9,8 @@ from .mixing import op9_mix_sources
 from .packing import op2_pack_documents
 from .pii import op10_find_personal_data
 from .quality import op3_quality_votes
+from .ranked_search import SQL as RANKED_SQL
+from .ranked_search import op13_rank_documents
 from .sharding import op4_shard_documents
 from .substrings import op6_remove_repeats
 from .token_counts import op1_count_tokens
@@ -24,6 +26,9 @@ QUERIES = {
     "op8_link_near_texts": op8_link_near_texts,
     "op9_mix_sources": op9_mix_sources,
     "op10_find_personal_data": op10_find_personal_data,
+    "op13_rank_documents": op13_rank_documents,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_rank_documents": RANKED_SQL,
+}

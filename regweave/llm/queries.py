@@ -14,6 +14,7 @@ from .ranked_search import op13_rank_documents
 from .sharding import op4_shard_documents
 from .substrings import op6_remove_repeats
 from .token_counts import op1_count_tokens
+from .whitening import op11_whiten_embeddings
 
 QUERIES = {
     "op1_count_tokens": op1_count_tokens,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_link_near_texts": op8_link_near_texts,
     "op9_mix_sources": op9_mix_sources,
     "op10_find_personal_data": op10_find_personal_data,
+    "op11_whiten_embeddings": op11_whiten_embeddings,
     "op13_rank_documents": op13_rank_documents,
 }
 

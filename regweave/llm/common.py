@@ -95,3 +95,12 @@ def parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """A batch of packed texts in parts of few rows."""
     for k in range(0, batch.num_rows, rows):
         yield batch.slice(k, rows)
+
+
+def slide(x: np.ndarray, width: int, pick) -> np.ndarray:
+    """pick (np.minimum or np.maximum) over each run of `width` values."""
+    k = 1
+    while 2 * k <= width:
+        x = pick(x[:-k], x[k:])
+        k *= 2
+    return pick(x[:k - width], x[width - k:]) if k < width else x

@@ -7,6 +7,8 @@ from .fingerprints import op5_fingerprint_documents
 from .jaccard_join import op8_link_near_texts
 from .mixing import op9_mix_sources
 from .packing import op2_pack_documents
+from .passages import SQL as PASSAGES_SQL
+from .passages import op12_remove_passages
 from .pii import op10_find_personal_data
 from .quality import op3_quality_votes
 from .ranked_search import SQL as RANKED_SQL
@@ -28,9 +30,11 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_find_personal_data": op10_find_personal_data,
     "op11_whiten_embeddings": op11_whiten_embeddings,
+    "op12_remove_passages": op12_remove_passages,
     "op13_rank_documents": op13_rank_documents,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_remove_passages": PASSAGES_SQL,
     "op13_rank_documents": RANKED_SQL,
 }

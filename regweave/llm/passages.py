@@ -2,24 +2,23 @@
 
 A passage of WINDOW words is repeated if it begins at two places, in one text or in two.
 
-- Seeds are winnowed anchors: of the runs of GRAM words in each passage of WINDOW words, those
-  whose hash is least. Equal passages have equal anchors at the same place, so each repeat
+- Seeds are winnowed anchors: each passage of WINDOW words chooses the run of GRAM words in it
+  whose hash is least, the first of them. Equal passages choose the same one, so each repeat
   holds a shared anchor, and only anchors that occur twice in the corpus are looked at. They
   are joined by their hash.
-- A match is extended both ways as far as a passage that holds the anchor can reach, the
+- A match is extended both ways as far as the passages that chose the anchor reach, the
   anchor's context. Places whose contexts are equal match over all of it: they are counted,
   and nothing more is asked of them, however many they are.
 - Other places of an anchor match over a part of it: so many words to the left and the rest of
-  a passage's words to the right. Each different context, once, sends what it reads for every
-  such split to the splits of other contexts. The work is the contexts' number times the
-  passages in one, never pairs of places; splits are counted before they are shuffled, so an
-  anchor in a great many surroundings is like many anchors.
+  a passage's words to the right. Each different context goes once to its anchor, with what it
+  reads for every such split, and splits that two contexts read alike are matches. The work
+  is the number of different contexts times the passages in one, never pairs of places. An
+  anchor with more than CROWD different contexts is divided by split before they travel.
 - Overlapping matches of a text, of one anchor or several, make its maximal repeats: the
   runs of words that go.
 
-A text goes by a key, a hash of its id and itself. Texts travel compressed, and only those
-with an open context travel twice. Hashes are of 64 bits, those of contexts and splits beside
-that of their anchor.
+A text goes by a key, a hash of its id and itself. Texts travel compressed. Hashes are of 64
+bits, those of contexts and splits beside that of their anchor.
 
 Defined results: a null text has no words; texts with fewer than WINDOW words keep all, joined
 by single spaces; rows equal in id and text, or in text alone, are repeats of each other; null
@@ -30,6 +29,7 @@ gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,14 @@ from pyspark.sql import functions as F
 from .common import WORD, packed, parts, slices, slide, table, texts_of, unpacked, written
 
 #: Words of a passage; words of an anchor.
-WINDOW, GRAM = 35, 12
+WINDOW, GRAM = 35, 8
+#: Different contexts of an anchor that meet in one place.
+CROWD = 10_000
 #: Words whose hashes a task remembers.
 KNOWN_WORDS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
+_LOW = np.uint64((1 << 32) - 1)
 
 
 class _Hashes(dict):
@@ -55,6 +58,20 @@ class _Hashes(dict):
         return h
 
 
+class _Powers:
+    """Powers of the base and of its inverse, as far as any text needed them."""
+
+    forth = back = np.zeros(0, dtype=np.uint64)
+
+    @classmethod
+    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.forth) < n:
+            size = max(n, 1 << 18)
+            cls.forth = np.multiply.accumulate(np.full(size, _BASE, dtype=np.uint64))
+            cls.back = np.multiply.accumulate(np.full(size, pow(_BASE, -1, 1 << 64), dtype=np.uint64))
+        return cls.forth, cls.back
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _ODD
     return (x ^ (x >> np.uint64(29))) * np.uint64(_BASE)
@@ -70,11 +87,11 @@ class Words:
         self.sizes = np.array([len(x) for x in lists], dtype=np.int64)
         self.size = int(self.sizes.sum())
         self.ends = np.cumsum(self.sizes)
-        own = np.fromiter((known[w] for x in lists for w in x), dtype=np.uint64, count=self.size)
+        own = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), dtype=np.uint64, count=self.size)
+        forth, self.back = _Powers.upto(self.size + 1)
         with np.errstate(over="ignore"):
-            self.back = np.multiply.accumulate(np.full(self.size + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64))
-            forth = np.multiply.accumulate(np.full(self.size, _BASE, dtype=np.uint64))
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * forth, dtype=np.uint64)])
+            own *= forth[: self.size]
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own, dtype=np.uint64)])
 
     def hashes(self, a: np.ndarray, b: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
         """Hashes of the words from a to b, for arrays of both."""
@@ -82,25 +99,24 @@ class Words:
             return _mixed((self.sums[b] - self.sums[a]) * self.back[a] + np.asarray(salt, dtype=np.uint64) * _ODD)
 
     def anchors(self, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places of the anchors, their hashes, and where their texts begin and end."""
+        """Anchors by the texts' order: hash, context, where its first passage begins and how many
+        passages chose it."""
         none = np.zeros(0, dtype=np.int64)
         if self.size < window:
-            return none, none.astype(np.uint64), none, none
+            return none.astype(np.uint64), none.astype(np.uint64), none, none
         at = np.arange(self.size - gram + 1)
-        grams = self.hashes(at, at + gram) | np.uint64(1)
+        grams = self.hashes(at, at + gram)
+        # The upper half of a hash is its rank, the place below it makes the first the least.
+        chosen = slide((grams & ~_LOW) | at.astype(np.uint64), window - gram + 1, np.minimum) & _LOW
         text = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        least = slide(grams, window - gram + 1, np.minimum)
-        least[text[: self.size - window + 1] != text[window - 1:]] = 0  # across two texts
-        edge = np.zeros(window - gram, dtype=np.uint64)
-        reach = slide(np.concatenate([edge, least, edge]), window - gram + 1, np.maximum)
-        at = np.flatnonzero(grams == reach)
-        ends = self.ends[text[at]]
-        return at, grams[at], ends - self.sizes[text[at]], ends
-
-    def contexts(self, at: np.ndarray, first: np.ndarray, end: np.ndarray, window: int, gram: int) -> np.ndarray:
-        """Hashes of all that passages with the anchors at these places can hold."""
-        a, b = np.maximum(first, at + gram - window), np.minimum(end, at + window)
-        return self.hashes(a, b, at - a)
+        within = np.flatnonzero(text[: self.size - window + 1] == text[window - 1:])
+        if not len(within):
+            return none.astype(np.uint64), none.astype(np.uint64), none, none
+        chosen = chosen[within].astype(np.int64)
+        opens = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+        place, first = chosen[opens], within[opens]
+        number = np.diff(np.concatenate([opens, [len(chosen)]]))
+        return grams[place], self.hashes(first, first + number - 1 + window, place - first), first, number
 
 
 def _seen(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -110,7 +126,7 @@ def _seen(docs: DataFrame, window: int, gram: int) -> DataFrame:
         known = _Hashes()
         for batch in batches:
             for part in slices(batch):
-                found = Words([t.encode() for t in texts_of(part)], known).anchors(window, gram)[1]
+                found = Words([t.encode() for t in texts_of(part)], known).anchors(window, gram)[0]
                 kinds, times = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], ["a", "n"])
 
@@ -119,30 +135,33 @@ def _seen(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _places(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """key, at (in words), a and c, the hash of its context, of every anchor."""
+    """Every place of an anchor: a, c (its context), key, lo (word of the first passage) and m (passages)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for batch in batches:
             for part in slices(batch):
                 words = Words([t.encode() for t in texts_of(part)], known)
-                at, a, first, end = words.anchors(window, gram)
-                c = words.contexts(at, first, end, window, gram)
-                text = np.searchsorted(words.ends, at, side="right")
+                a, c, first, number = words.anchors(window, gram)
+                text = np.searchsorted(words.ends, first, side="right")
+                lo = first - (words.ends - words.sizes)[text]
                 columns = [
-                    part.column(0).take(pa.array(text)), pa.array((at - first).astype(np.int32)),
-                    pa.array(a.view(np.int64)), pa.array(c.view(np.int64)),
+                    pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), part.column(0).take(pa.array(text)),
+                    pa.array(lo.astype(np.int32)), pa.array(number.astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "at", "a", "c"])
+                yield pa.RecordBatch.from_arrays(columns, ["a", "c", "key", "lo", "m"])
+
+    return docs.mapInArrow(run, "a long, c long, key long, lo int, m int")
 
-    return docs.mapInArrow(run, "key long, at int, a long, c long")
 
+_SPLITS = "a long, sub long, key long, open boolean, lo int, h array<long>"
+_SPLIT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
 
-def _splits(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """For each context wanted of a text (key, data, wanted): a, whether it is open, where its first
-    passage begins, and the hashes of its passages, which tell how far left they reach."""
-    names = ["key", "a", "open", "start", "h"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
+
+def _splits(texts: DataFrame, window: int) -> DataFrame:
+    """What the contexts wanted of texts (key, data, wanted) read for each of their passages; a
+    context of a crowded anchor a row for each, with `sub` to tell them apart."""
+    names = [x.split()[0] for x in _SPLITS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
@@ -152,13 +171,58 @@ def _splits(texts: DataFrame, window: int, gram: int) -> DataFrame:
                 for key, data, wanted in zip(*(batch.column(k).to_pylist() for k in range(3))):
                     words = Words([unpacked(data)], known)
                     for w in wanted:
-                        low, high = max(0, w["at"] + gram - window), min(w["at"], words.size - window)
-                        starts = np.arange(low, high + 1)
-                        h = words.hashes(starts, starts + window, w["at"] - starts)
-                        rows.append((key, w["a"], w["open"], low, h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+                        starts = np.arange(w["lo"], w["lo"] + w["m"])
+                        h = words.hashes(starts, starts + window).view(np.int64)
+                        if w["crowded"]:
+                            rows += [(w["a"], x or 1, key, w["open"], s, [x]) for s, x in zip(starts.tolist(), h.tolist())]
+                        else:
+                            rows.append((w["a"], 0, key, w["open"], w["lo"], h))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _SPLIT_TYPES)], names)
+
+    return texts.mapInArrow(run, _SPLITS)
+
+
+def _matched(splits: DataFrame, window: int) -> DataFrame:
+    """Spans (key, lo, hi) of open contexts that another context of their anchor reads too."""
+
+    def spans(rows: pa.Table) -> pa.RecordBatch:
+        sizes = np.diff(rows["h"].combine_chunks().offsets.to_numpy())
+        h = rows["h"].combine_chunks().flatten().to_numpy()
+        row = np.repeat(np.arange(rows.num_rows), sizes)
+        a = rows["a"].to_numpy()[row]
+        start = rows["lo"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        by = np.lexsort((h, a))
+        equal = (a[by][1:] == a[by][:-1]) & (h[by][1:] == h[by][:-1])
+        twice = np.zeros(len(by), dtype=bool)
+        twice[by[1:][equal]] = twice[by[:-1][equal]] = True
+        twice &= rows["open"].to_numpy(zero_copy_only=False)[row]
+        at = np.flatnonzero(twice)
+        new = np.concatenate([[True], (np.diff(at) > 1) | (np.diff(row[at]) > 0)]) if len(at) else np.zeros(0, dtype=bool)
+        first, last = at[new], at[np.concatenate([new[1:], [True]])] if len(at) else at
+        columns = [rows["key"].to_numpy()[row[first]], start[first].astype(np.int32), (start[last] + window).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "lo", "hi"])
 
-    return texts.mapInArrow(run, "key long, a long, open boolean, start int, h array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held else rows
+            if not rows.num_rows:
+                continue
+            a, sub = rows["a"].to_numpy(), rows["sub"].to_numpy()
+            edge = int(np.flatnonzero((a == a[-1]) & (sub == sub[-1]))[0])
+            if sub[-1]:  # one split: two of its rows stand for all that came
+                yield spans(rows)
+                held = rows.slice(edge, 2).combine_chunks()
+            else:
+                if edge:
+                    yield spans(rows.slice(0, edge).combine_chunks())
+                held = rows.slice(edge).combine_chunks()
+        if held:
+            yield spans(held)
+
+    dealt = splits.repartition("a", "sub").sortWithinPartitions("a", "sub")
+    return dealt.mapInArrow(run, "key long, lo int, hi int")
 
 
 _KEPT = "doc_id long, n_words long, n_removed long, n_spans long, kept string"
@@ -191,26 +255,20 @@ def remove_passages(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
     """doc_id, n_words, n_removed, n_spans and the kept words of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
     keyed = docs.select("key", "text")
-    places = _places(keyed, window, gram).join(_seen(keyed, window, gram), "a")
-    places = written(places, "places")
-    kinds = places.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a", F.lit(True).alias("mixed"))
-    # Of equal contexts any place stands for all; the three come from one row.
+    places = written(_places(keyed, window, gram).join(_seen(keyed, window, gram), "a"), "places")
+    # Of equal contexts any place stands for all; key and lo come from one row.
     contexts = places.groupBy("a", "c").agg(
-        F.count("*").alias("n"), F.first("key").alias("key"), F.first("at").alias("at")
-    )
-    contexts = written(contexts.join(kinds, "a", "left"), "contexts")
-    wanted = contexts.where("mixed").groupBy("key").agg(
-        F.collect_list(F.struct("at", "a", (F.col("n") == 1).alias("open"))).alias("wanted")
+        F.count("*").alias("n"), F.first("key").alias("key"), F.first("lo").alias("lo"), F.first("m").alias("m")
     )
+    contexts = written(contexts, "contexts")
+    kinds = contexts.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    wanted = contexts.join(kinds, "a").groupBy("key").agg(F.collect_list(F.struct(
+        "a", "lo", "m", (F.col("n") == 1).alias("open"), (F.col("kinds") > CROWD).alias("crowded")
+    )).alias("wanted"))
     moved = packed(docs, "key")
-    splits = moved.join(wanted, "key").select("key", "data", "wanted")
-    splits = written(_splits(splits, window, gram), "splits")
-    each = splits.select("key", "a", "open", "start", F.posexplode("h").alias("k", "h"))
-    shared = each.groupBy("a", "h").agg(F.count("*").alias("n"), F.max("open").alias("some")).where("n > 1 and some").select("a", "h")
-    lo = F.col("start") + F.col("k")
-    partly = each.where("open").join(shared, ["a", "h"]).select("key", lo.alias("lo"), (lo + window).alias("hi"))
+    partly = _matched(_splits(moved.join(wanted, "key").select("key", "data", "wanted"), window), window)
     wholly = places.join(contexts.where("n > 1").select("a", "c"), ["a", "c"]).select(
-        "key", F.greatest(F.col("at") + (gram - window), F.lit(0)).alias("lo"), (F.col("at") + window).alias("hi")
+        "key", "lo", (F.col("lo") + F.col("m") + (window - 1)).alias("hi")
     )
     spans = wholly.unionByName(partly).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     return _cut(moved.join(spans, "key", "left").select("doc_id", "data", "spans"))

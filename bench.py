@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the queries; prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 """
@@ -15,9 +15,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from regweave.session import local_session  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
-# These repeat the plan of a headline query with another ending.
-VARIANTS = {"qa_samples", "qa_tally", "privacy_report_diff", "info_listing", "crosswalk_sources"}
-
 
 def seconds(query, spark, sf_dir: str) -> float:
     """Plan and run a query, every column of every row computed."""
@@ -29,7 +26,7 @@ def seconds(query, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = sys.argv[1:] or [n for n in QUERIES if n not in VARIANTS]
+    names = sys.argv[1:] or list(QUERIES)
     spark = local_session(cpus, app="bench", memory=os.environ.get("BENCH_MEMORY", "16g"))
     for warm in ("raw_counts", "crosswalk"):  # class loading and JIT, not queries
         seconds(QUERIES[warm], spark, sf_dir)

@@ -2,7 +2,8 @@
 
 Each check family names the aggregates it needs of each table and the report
 lines they become. A run merges the aggregates of all families, so a relation is
-scanned once for them; keys, samples and links are further scans. The few hundred
+scanned once for these; the fold of all keys, the sample of states and the links scan
+the tables again, each by itself. The few hundred
 numbers that come out form one row, from which the lines are rendered. A family whose
 input is absent leaves a line that says so; a table that breaks costs its own lines.
 """
@@ -224,6 +225,14 @@ def top_values(frame: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataF
     return counts.orderBy(F.desc("n"), "key").limit(limit)
 
 
+def top_values_of_all(frame: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataFrame:
+    """The most frequent values and, first and marked, the number of all rows; from one shuffle."""
+    counts = frame.rollup(F.col(column).alias("key")).agg(
+        F.count("*").alias("n"), (F.grouping_id() == 1).alias("whole")
+    )
+    return counts.orderBy(F.desc("whole"), F.desc("n"), "key").limit(limit + 1)
+
+
 def as_sample(key: str, rows: DataFrame) -> DataFrame:
     """A few (key, n) rows as the one-row sample of a measure, most frequent first."""
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), "key", "n")))

@@ -87,7 +87,7 @@ def land_table(
         raise EmptyMember(f"{spec.member} holds no header")
     kept = [publishable_columns(spec.name, e.header) if public else e.header for e in entries]
     columns = list(dict.fromkeys(c for names in kept for c in names))
-    inputs = _inputs(entries, {"null_tokens": null_tokens})
+    inputs = _inputs(entries, {"null_tokens": null_tokens, "fail_on_malformed": fail_on_malformed})
     if not force and (earlier := _earlier(store, spec.name, inputs, columns)):
         return earlier
 

@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="regweave-")
     if context.getCheckpointDir() is None:

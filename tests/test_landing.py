@@ -6,7 +6,7 @@ import zipfile
 
 import numpy as np
 import pytest
-from tests.conftest import COLUMNS, ROWS, csv_bytes, write_archive
+from tests.conftest import DAIRY, LINKS, MILL, OUTFALL, PUMP, RELEASE, ROWS, WELL, csv_bytes, write_archive
 from pyspark.sql import functions as F
 
 from regweave.operators import links as lk, quality
@@ -21,6 +21,10 @@ from regweave.sources.storage import Store
 from regweave.streaming.drops import land_drops
 
 
+#: Lines of the report on the small archive, by status.
+TALLY = {"ok": 42, "warn": 11, "fail": 0}
+
+
 def landed(built):
     return {r.table: r for r in built[1].landed}
 
@@ -31,59 +35,53 @@ def test_every_table_lands_with_its_rows(built):
     assert {t: r.rows for t, r in results.items()} == {t: len(rows) for t, rows in ROWS.items()}
 
 
-def test_control_bytes_empty_the_field_but_keep_the_row(built):
+def test_control_bytes_go_and_the_row_stays(built):
+    assert {r.MAILING_ADDRESS for r in built[0].read("raw/mailing_address").collect()} == {"7 Elm", None}
     result = landed(built)["mailing_address"]
-    assert (result.rows, result.control_bytes, result.bad_bytes) == (2, 27, 0)
+    assert (result.rows, result.control_bytes, result.bad_bytes) == (2, 8, 0)
 
 
 def test_bad_utf8_is_repaired_and_counted(built):
     store, _ = built
     result = landed(built)["alternative_name"]
-    assert (result.bad_bytes, result.source_replacements) == (1, 0)
+    assert (result.bad_bytes, result.source_replacements) == (2, 0)
     name = store.read("raw/alternative_name").first().ALTERNATIVE_NAME
-    assert name == "ACME 90� WORKS"
+    assert name == "Pump �house�"
 
 
 def test_everything_lands_as_text_with_leading_zeros(built):
     raw = built[0].read("raw/facility")
     assert {f.dataType.typeName() for f in raw.schema.fields} == {"string"}
-    assert {r.FIPS_CODE for r in raw.collect()} == {"39155", "05139", "69110"}
+    assert {r.FIPS_CODE for r in raw.collect()} == {"19153", "1915", "66010", "00912"}
 
 
 def test_quoted_line_breaks_stay_inside_the_field(built):
-    raw = built[0].read("raw/facility").filter("REGISTRY_ID = '110000000003'").first()
-    assert raw.PRIMARY_NAME == "TREATMENT\r\nUNIT"
+    raw = built[0].read("raw/facility").filter(F.col("REGISTRY_ID") == PUMP).first()
+    assert raw.PRIMARY_NAME == 'Pump\n"house"'
 
 
 def test_the_audit_log_records_the_run(built):
     store, _ = built
     audit = store.spark.read.parquet(f"{store.root}/{AUDIT}")
     assert audit.count() == 10
-    assert audit.agg(F.sum("control_bytes")).first()[0] == 27
+    assert audit.agg(F.sum("control_bytes")).first()[0] == 8
 
 
 def test_normalised_facility(built):
-    rows = {r.REGISTRY_ID[-1]: r for r in plans.open_layers(built[0]).clean("facility").collect()}
-    one, two = rows["1"], rows["2"]
-    assert (one.PRIMARY_NAME, one.COUNTRY_NAME, one.STATE_CODE, one.POSTAL_CODE_ZIP5) == (
-        "ACME WORKS", "US", "OH", "44446")
-    assert (one.LATITUDE83, one.UPDATE_DATE.year, one.FIPS_CODE_COUNTY5) == (41.18, 2025, "39155")
-    assert (two.STATE_CODE, two.STATE_CODE_RAW, two.FIPS_CODE_COUNTY5) == (None, "XX", None)
-    assert two.UPDATE_DATE.year == 1955
+    rows = {r.REGISTRY_ID: r for r in plans.open_layers(built[0]).clean("facility").collect()}
+    dairy, mill = rows[DAIRY], rows[MILL]
+    assert (dairy.PRIMARY_NAME, dairy.COUNTRY_NAME, dairy.STATE_CODE, dairy.POSTAL_CODE_ZIP5) == (
+        "Quarry Lake Dairy", "US", "IA", "50309")
+    assert (dairy.LATITUDE83, dairy.CREATE_DATE.year, dairy.UPDATE_DATE.year, dairy.FIPS_CODE_COUNTY5) == (41.59, 1971, 1952, "19153")
+    assert (mill.STATE_CODE, mill.STATE_CODE_RAW, mill.FIPS_CODE_COUNTY5, mill.UPDATE_DATE) == (None, "ZQ", None, None)
 
 
 def test_crosswalk_rows_and_provenance(built):
     store, info = built
-    links = {(r.PGM_SYS_ACRNM, r.PGM_SYS_ID): r for r in store.read("crosswalk").collect()}
-    assert info.crosswalk_rows == len(links) == 10
-    assert {k: r.source_table_count for k, r in links.items()} == {
-        ("NPDES", "OH0011223"): 9, ("SFDW", "OH1234567"): 3, ("TRIS", "44446X"): 2,
-        ("SFDW", "AR9876543 4242"): 2, ("SFDW", "MP0000211 0000211TP UV"): 2,
-        ("SFDW", "063503111"): 2, ("RCRAINFO", "OHD004228631"): 1,
-        ("NCDB", "D06#MM-06-98-0736,T"): 1, ("SFDW", "OH7654321"): 1, ("SFDW", "ZZ0000000"): 1,
-    }
-    assert links["RCRAINFO", "OHD004228631"].source_tables == ["facility_acrnms"]
-    assert links["TRIS", "44446X"].source_tables == ["alternative_name", "mailing_address"]
+    links = {(r.REGISTRY_ID, r.PGM_SYS_ACRNM, r.PGM_SYS_ID): r for r in store.read("crosswalk").collect()}
+    assert {k: r.source_table_count for k, r in links.items()} == LINKS and info.crosswalk_rows == len(LINKS)
+    assert links[WELL].source_tables == ["alternative_name", "facility_acrnms", "program"]
+    assert links[RELEASE].source_tables == ["contact", "facility_acrnms", "naics", "organization"]
 
 
 def test_crosswalk_sources_in_scan_order(built):
@@ -94,30 +92,34 @@ def test_crosswalk_sources_in_scan_order(built):
 
 def test_water_systems(built):
     store, info = built
-    rows = {r.SFDW_ID: r for r in store.read("water_system").collect()}
-    assert info.water_system_rows == len(rows) == 6
-    unit = rows["MP0000211 0000211TP UV"]
-    assert (unit.PWSID, unit.SYSTEM_FACILITY_ID, unit.PWSID_STATE) == ("MP0000211", "0000211TP UV", "MP")
-    assert rows["OH1234567"].SYSTEM_FACILITY_ID is None
-    assert rows["063503111"].PWSID_STATE is None
-    assert rows["OH7654321"].INTEREST_TYPE is None and rows["OH7654321"].PRIMARY_NAME == "ACME WORKS"
-    assert rows["ZZ0000000"].PRIMARY_NAME is None and rows["ZZ0000000"].PWSID_STATE is None
+    rows = store.read("water_system").collect()
+    assert info.water_system_rows == len(rows) == 5
+    assert sorted(r.INTEREST_TYPE for r in rows if r.SFDW_ID == "IA7700001") == ["COMMUNITY WATER SYSTEM", "TRANSIENT"]
+    by = {r.SFDW_ID: r for r in rows}
+    unit = by["GU0000330 0000330CH"]
+    assert (unit.PWSID, unit.SYSTEM_FACILITY_ID, unit.PWSID_STATE) == ("GU0000330", "0000330CH", "GU")
+    assert by["IA7700001"].SYSTEM_FACILITY_ID is None and by["IA7700001 WELL 3"].SYSTEM_FACILITY_ID == "WELL 3"
+    assert by["IA7700001 WELL 3"].INTEREST_TYPE is None and by["IA7700001 WELL 3"].PRIMARY_NAME == "Quarry Lake Dairy"
+    assert by["090500012"].PRIMARY_NAME is None and by["090500012"].PWSID_STATE is None
 
 
 def test_quality_report_on_the_mini_archive(built):
     report = plans.run_quality(built[0])
     lines = {r.name: r for r in report.collect()}
-    assert {r.status: r.n for r in quality.tally(report).collect()} == {"ok": 46, "warn": 6, "fail": 0}
+    assert {r.status: r.n for r in quality.tally(report).collect()} == TALLY
     assert lines["orphans.environmental_interest"].value_num == 1
-    assert lines["facility.state_code_out_of_domain"].value_num == 1
-    assert [tuple(s) for s in lines["facility.state_code_out_of_domain"].sample] == [("XX", 1)]
-    assert lines["dates.facility.UPDATE_DATE.century_adjusted"].value == "1"
-    assert lines["facility.fips_code_shapes"].value == "3 usable of 3 non-null"
-    assert lines["facility.coordinates_present"].value == "1 / 3 (33.3%)"
+    assert [tuple(s) for s in lines["facility.state_code_out_of_domain"].sample] == [("ZQ", 1)]
+    moved = {n for n in lines if n.endswith("century_adjusted")}
+    assert moved == {"dates.facility.UPDATE_DATE.century_adjusted", "dates.environmental_interest.END_DATE.century_adjusted"}
+    assert lines["dates.facility.UPDATE_DATE.unparseable"].value_num == 1
+    assert lines["dates.program.REFRESH_DATE.unparseable"].value_num == 1
+    assert lines["facility.fips_code_shapes"].value == "3 usable of 4 non-null"
+    assert lines["facility.coordinates_present"].value == "2 / 4 (50.0%)"
+    assert lines["facility.coordinates_unusable"].value == "1"
     assert lines["text.replacement_characters"].value_num == 1
-    assert lines["crosswalk.in_facility_string_not_program_table"].value_num == 6
+    assert lines["crosswalk.in_facility_string_not_program_table"].value_num == 4
     assert lines["crosswalk.in_program_table_not_facility_string"].value_num == 0
-    assert lines["crosswalk.single_source_links"].value == "4 / 10"
+    assert lines["crosswalk.single_source_links"].value == "4 / 8"
 
 
 def test_existing_tables_are_reused_unless_forced(spark, mini_archive, tmp_path):
@@ -130,6 +132,14 @@ def test_existing_tables_are_reused_unless_forced(spark, mini_archive, tmp_path)
     assert store.current("raw/sic") == forced.path
 
 
+def test_a_lenient_table_is_not_reused_by_a_strict_run(spark, tmp_path):
+    archive = write_archive(tmp_path / "a.zip", {SPECS["sic"].member: csv_bytes("sic") + b"1,2\n"})
+    store = Store(spark, str(tmp_path / "s"))
+    assert land_archive(store, archive, only=["sic"], fail_on_malformed=False)[0].malformed_rows == 1
+    with pytest.raises(MalformedRows):
+        land_archive(store, archive, only=["sic"])
+
+
 def test_an_unfinished_version_is_never_current(spark, mini_archive, tmp_path):
     store = Store(spark, str(tmp_path))
     good = land_archive(store, mini_archive, only=["sic"])[0].path
@@ -159,7 +169,7 @@ def test_public_build_moves_counts_but_no_links(spark, mini_archive, built, tmp_
     store = Store(spark, str(tmp_path))
     plans.run_all(store, mini_archive, public=True)
     diff = link_diff(built[0].read("crosswalk"), store.read("crosswalk")).collect()
-    assert [(r.PGM_SYS_ACRNM, r.change) for r in diff] == [("NPDES", "changed")]
+    assert sorted((r.PGM_SYS_ACRNM, r.change) for r in diff) == [("NPDES", "changed"), ("TRIS", "changed")]
     with pytest.raises(IncomparableBuilds):
         require_same_sources(built[0].read("crosswalk_sources"), store.read("crosswalk_sources"))
     changes = report_diff(plans.run_quality(built[0]), plans.run_quality(store)).collect()
@@ -174,7 +184,7 @@ def test_unknown_members_are_reported(spark, mini_archive, tmp_path):
 
 def test_wrong_width_and_empty_members_fail_and_publish_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
-    ragged = csv_bytes("sic") + b'"110000000001","NPDES"\n'
+    ragged = csv_bytes("sic") + b'"310000000011","NPDES"\n'
     archive = write_archive(tmp_path / "a.zip", {SPECS["sic"].member: ragged,
                                                  SPECS["naics"].member: csv_bytes("naics")[:60].split(b"\n")[0] + b"\n"})
     with pytest.raises(MalformedRows):
@@ -354,16 +364,16 @@ def test_exports(spark, built, tmp_path):
     links = built[0].read("crosswalk")
     for suffix in ("parquet", "csv", "tsv"):
         plans.export(links, str(tmp_path / f"x.{suffix}"))
-    assert spark.read.parquet(str(tmp_path / "x.parquet")).count() == 10
+    assert spark.read.parquet(str(tmp_path / "x.parquet")).count() == len(LINKS)
     tsv = spark.read.csv(str(tmp_path / "x.tsv"), sep="\t", header=True)
-    assert tsv.filter("PGM_SYS_ACRNM = 'TRIS'").first().source_tables == "[alternative_name, mailing_address]"
-    assert spark.read.csv(str(tmp_path / "x.csv"), header=True).count() == 10
+    assert tsv.filter("PGM_SYS_ACRNM = 'TRIS'").first().source_tables == "[contact, facility_acrnms, naics, organization]"
+    assert spark.read.csv(str(tmp_path / "x.csv"), header=True).count() == len(LINKS)
     with pytest.raises(ValueError):
         plans.export(links, str(tmp_path / "x.xlsx"))
     report = plans.run_quality(built[0])
     plans.export_report(report, str(tmp_path / "r.json"), only_problems=True)
     problems = spark.read.json(str(tmp_path / "r.json"))
-    assert problems.count() == 6 and set(problems.columns) <= {"name", "status", "value", "detail"}
+    assert problems.count() == TALLY["warn"] and set(problems.columns) <= {"name", "status", "value", "detail"}
 
 
 def test_info_and_ad_hoc_sql(spark, built):
@@ -371,8 +381,8 @@ def test_info_and_ad_hoc_sql(spark, built):
     assert counts == {t: len(rows) for t, rows in ROWS.items()}
     layers = plans.open_layers(built[0])
     rows = layers.query(spark, "SELECT c.PGM_SYS_ID FROM crosswalk c JOIN raw_facility r USING (REGISTRY_ID) "
-                               "JOIN facility f USING (REGISTRY_ID) WHERE f.STATE_CODE = 'MP'").collect()
-    assert {r[0] for r in rows} == {"MP0000211 0000211TP UV", "063503111"}
+                               "JOIN facility f USING (REGISTRY_ID) WHERE f.STATE_CODE = 'GU'").collect()
+    assert {r[0] for r in rows} == {WELL[2]}
 
 
 def test_ad_hoc_sql_only_reads_and_sees_no_other_build(spark, built, tmp_path):
@@ -386,7 +396,7 @@ def test_ad_hoc_sql_only_reads_and_sees_no_other_build(spark, built, tmp_path):
             with pytest.raises(Exception):
                 layers.query(spark, text)
     rows = layers.query(spark, "WITH c AS (SELECT * FROM crosswalk) SELECT PGM_SYS_ID FROM c ORDER BY 1 DESC -- all").collect()
-    assert [r[0] for r in rows] == sorted((r[0] for r in rows), reverse=True) and len(rows) == 10
+    assert [r[0] for r in rows] == sorted((r[0] for r in rows), reverse=True) and len(rows) == len(LINKS)
 
 
 def test_a_store_without_tables(spark, tmp_path):
@@ -398,7 +408,7 @@ def test_a_store_without_tables(spark, tmp_path):
 def test_a_build_without_interests_has_no_water_table(spark, mini_archive, tmp_path):
     store = Store(spark, str(tmp_path))
     info = plans.run_all(store, mini_archive, only=["facility", "sic"])
-    assert info.crosswalk_rows == 8 and not store.has("water_system")
+    assert info.crosswalk_rows == 7 and not store.has("water_system")
 
 
 def test_streamed_drops_land_once(spark, mini_archive, tmp_path):
@@ -414,4 +424,4 @@ def test_streamed_drops_land_once(spark, mini_archive, tmp_path):
     run()
     (inbox / "m2.zip").write_bytes(body)
     run()
-    assert seen == [("m1", 8), ("m2", 8)]
+    assert seen == [("m1", 7), ("m2", 7)]

@@ -90,8 +90,8 @@ def test_a_hot_facility_is_split_in_the_join(spark):
 
 def test_one_program_is_filtered_at_the_scan(spark, built):
     store, _ = built
-    lookup = lk.facility_lookup(store.read("crosswalk"), "110000000001")
-    assert "EqualTo(REGISTRY_ID,110000000001)" in plan(lookup)
+    lookup = lk.facility_lookup(store.read("crosswalk"), "310000000011")
+    assert "EqualTo(REGISTRY_ID,310000000011)" in plan(lookup)
     orphans = integrity.orphan_rows(store.read("raw/program").select("REGISTRY_ID"), store.read("raw/facility"))
     shown = plan(orphans)
     assert "LeftAnti" in shown and shown.count("ReadSchema: struct<REGISTRY_ID:string>") == 2

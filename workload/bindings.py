@@ -73,7 +73,9 @@ _PACKED = " || ".join((
 #: raw table -> (base table, row predicate or None, column expressions)
 RAW_TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "facility": ("orders", None, {
-        "REGISTRY_ID": "CASE o_orderstatus WHEN 'P' THEN '19' ELSE '11' END || lpad(cast(o_orderkey AS string), 10, '0')",
+        # Some facilities have no key, some the key of the one before them.
+        "REGISTRY_ID": "CASE WHEN o_orderkey % 997 <> 5 THEN CASE o_orderstatus WHEN 'P' THEN '19' ELSE '11' END || "
+                       "lpad(cast(CASE WHEN o_orderkey % 499 = 3 THEN o_orderkey - 1 ELSE o_orderkey END AS string), 10, '0') END",
         "PRIMARY_NAME": "'  ' || o_orderpriority || '   WORKS' || chr(9) || cast(o_custkey AS string) "
                         "|| CASE WHEN o_custkey % 50 = 7 THEN ' CAF�' ELSE ' ' END",
         "LOCATION_ADDRESS": "cast(o_custkey AS string) || ' MAIN' || chr(10) || 'ST'",
@@ -82,7 +84,7 @@ RAW_TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "FIPS_CODE": "CASE o_custkey % 6 WHEN 0 THEN '39155' WHEN 1 THEN '02020' WHEN 2 THEN 'AK090' "
                      "WHEN 3 THEN '04' WHEN 4 THEN 'X-1' END",
         "STATE_CODE": "CASE o_custkey % 7 WHEN 0 THEN ' oh' WHEN 1 THEN 'AK' WHEN 2 THEN 'CA' "
-                      "WHEN 3 THEN 'XX' WHEN 4 THEN 'MP' WHEN 5 THEN 'TT' ELSE '' END",
+                      "WHEN 3 THEN 'XX' WHEN 4 THEN 'MP' WHEN 5 THEN 'T' || chr(cast(65 + o_custkey % 26 AS int)) ELSE '' END",
         "COUNTRY_NAME": "CASE o_custkey % 5 WHEN 0 THEN 'USA' WHEN 1 THEN ' united  states ' "
                         "WHEN 2 THEN 'Canada' WHEN 3 THEN 'Atlantis' ELSE 'U.S.A.' END",
         "POSTAL_CODE": "CASE o_custkey % 3 WHEN 0 THEN lpad(cast(o_custkey AS string), 5, '0') || '-1199' "

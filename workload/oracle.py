@@ -10,6 +10,7 @@ from regweave.operators.quality import MARKED_COLUMNS
 from regweave.registry import (
     LINK_SOURCES, LINK_TABLES, PACKED_SOURCE, PERSONAL_COLUMNS, SPECS, spec_names,
 )
+from workload import analytics_oracle
 from workload.bindings import BASE_TABLES, RAW_TABLES, date_text, raw_sql
 from workload.queries import LOOKUP_ID, PIVOT_ACRONYMS
 
@@ -266,8 +267,8 @@ _PUBLIC_REPORT = (
 )
 
 _SAMPLES = (
-    "SELECT 'facility.state_code_out_of_domain' AS name, STATE_CODE_RAW AS key, count(*) AS n "
-    f"FROM facility WHERE {_BAD_STATE} GROUP BY STATE_CODE_RAW "
+    "SELECT * FROM (SELECT 'facility.state_code_out_of_domain' AS name, STATE_CODE_RAW AS key, count(*) AS n "
+    f"FROM facility WHERE {_BAD_STATE} GROUP BY STATE_CODE_RAW ORDER BY n DESC, key LIMIT 20) "
     f"UNION ALL SELECT 'facility.fips_code_shapes', {_SHAPE}, count(*) FROM facility GROUP BY 2 "
     + "".join(
         f"UNION ALL SELECT * FROM (SELECT 'text.replacement_characters', '{t}.{c}', count(*) AS n "
@@ -278,7 +279,7 @@ _SAMPLES = (
 _PROFILE = " UNION ALL ".join(
     [f"SELECT 'rows.{t}' AS measure, count(*) AS n FROM raw_{t}" for t in RAW_TABLES]
     + ["SELECT 'duplicates.facility', count(*) FROM (SELECT 1 FROM raw_facility GROUP BY REGISTRY_ID HAVING count(*) > 1)"]
-    + [f"SELECT 'orphans.{t}', count(*) FROM raw_{t} WHERE REGISTRY_ID NOT IN (SELECT REGISTRY_ID FROM raw_facility)"
+    + [f"SELECT 'orphans.{t}', count(*) FROM raw_{t} c ANTI JOIN raw_facility f ON c.REGISTRY_ID = f.REGISTRY_ID"
        for t in RAW_TABLES if t != "facility"]
 )
 
@@ -357,15 +358,15 @@ ORACLE: dict[str, str] = {
     "key_duplicates": "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
     "key_profile": _ctes(*_RAW_ALL) + _PROFILE,
     "orphans": _ctes("raw_facility", "raw_environmental_interest") +
-        "SELECT * FROM raw_environmental_interest WHERE REGISTRY_ID NOT IN (SELECT REGISTRY_ID FROM raw_facility)",
+        "SELECT * FROM raw_environmental_interest WHERE REGISTRY_ID IS NULL "
+        "OR REGISTRY_ID NOT IN (SELECT REGISTRY_ID FROM raw_facility WHERE REGISTRY_ID IS NOT NULL)",
     "unlabelled_documents":
         "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-    "date_quality":
-        f"SELECT count(*) FILTER ({_unparseable('UPDATE_DATE')}) AS unparseable, "
-        f"count(*) FILTER ({_adjusted('UPDATE_DATE')}) AS adjusted, count(*) AS total FROM ({raw_sql('facility')})",
+    "date_quality": _REPORT_CTES + f"SELECT name, value_num AS n FROM ({_REPORT}) WHERE name LIKE 'dates.%'",
     "state_out_of_domain": _ctes("facility") +
-        f"SELECT STATE_CODE_RAW AS key, count(*) AS n FROM facility WHERE {_BAD_STATE} "
-        "GROUP BY STATE_CODE_RAW ORDER BY n DESC, key LIMIT 20",
+        f", bad AS (SELECT STATE_CODE_RAW AS key, count(*) AS n FROM facility WHERE {_BAD_STATE} GROUP BY 1) "
+        "SELECT NULL AS key, coalesce(sum(n), 0)::BIGINT AS n, true AS whole FROM bad "
+        "UNION ALL (SELECT key, n, false FROM bad ORDER BY n DESC, key LIMIT 20)",
     "fips_shapes": _ctes("facility") + f"SELECT {_SHAPE} AS shape, count(*) AS n FROM facility GROUP BY 1",
     "fips_disagreement": _ctes("facility") +
         f"SELECT REGISTRY_ID, FIPS_CODE, STATE_CODE FROM facility WHERE {_CLASH}",
@@ -388,9 +389,14 @@ ORACLE: dict[str, str] = {
         "l.source_tables AS before, p.source_tables AS after "
         f"FROM links l LEFT JOIN public_links p USING ({_LINK}) "
         "WHERE l.source_tables IS DISTINCT FROM p.source_tables",
+    "link_difference": _ctes(*_ALL, "assertions", "links", "public_links") +
+        f"SELECT {_LINK}, if(p.source_tables IS NULL, 'added', 'changed') AS change, "
+        "p.source_tables AS before, l.source_tables AS after "
+        f"FROM links l LEFT JOIN public_links p USING ({_LINK}) "
+        "WHERE l.source_tables IS DISTINCT FROM p.source_tables",
     "privacy_report_diff": _REPORT_CTES +
         "SELECT name, CASE WHEN o.status IS NULL THEN 'added' WHEN w.status IS NULL THEN 'removed' ELSE 'changed' END AS change, "
         "o.status AS old_status, w.status AS new_status, o.value AS old_value, w.value AS new_value "
         f"FROM ({_REPORT}) o FULL JOIN ({_PUBLIC_REPORT}) w USING (name) "
         "WHERE (o.status, o.value) IS DISTINCT FROM (w.status, w.value)",
-}
+} | analytics_oracle.ORACLE

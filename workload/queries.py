@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regweave.functions import repair
 from regweave.functions.codes import country_code, fips_shape, state_code, zip5
 from regweave.functions.coords import decimal_text, in_bounds, is_unmappable
-from regweave.functions.dates import bare_date, century_adjusted, has_text, pivot_date
+from regweave.functions.dates import bare_date, pivot_date
 from regweave.functions.text import fold_text, fold_upper, null_tokens_to_null
 from regweave.layers import Layers
 from regweave.operators import integrity, links as lk, quality
-from regweave.operators.compare import report_diff
+from regweave.operators.compare import link_diff, report_diff
 from regweave.operators.clean import COUNTY, RAW_STATE
 from regweave.operators.privacy import withhold
 from regweave.operators.subset import water_system
 from regweave.registry import PERSONAL_TABLES, registry_frame
 from regweave.sources.records import parse_records, repair_records
+from workload import analytics
 from workload.bindings import BASE_TABLES, date_text, raw_table, raw_tables, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,18 +227,15 @@ def unlabelled_documents(spark, sf_dir):
 
 
 def date_quality(spark, sf_dir):
-    update = F.col("UPDATE_DATE")
-    days = raw_table(spark, sf_dir, "facility").select(
-        has_text(update).alias("present"), pivot_date(bare_date(update)).alias("day"))
-    return days.agg(F.count_if(F.col("present") & F.col("day").isNull()).alias("unparseable"),
-                    F.count_if(century_adjusted(F.col("day"))).alias("adjusted"),
-                    F.count("*").alias("total"))
+    """What the dates of all registered columns read as."""
+    lines = quality.Dates()(Layers(raw_tables(spark, sf_dir)))
+    return lines.select("name", F.col("value_num").alias("n"))
 
 
 def state_out_of_domain(spark, sf_dir):
     facility = clean_facility(spark, sf_dir)
     bad = facility.filter(quality.out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE)))
-    return quality.top_values(bad, RAW_STATE)
+    return quality.top_values_of_all(bad, RAW_STATE)
 
 
 def fips_shapes(spark, sf_dir):
@@ -299,6 +297,12 @@ def privacy_link_diff(spark, sf_dir):
     return _flat(lk.without_sources(masks, PERSONAL_TABLES), "before", "after")
 
 
+def link_difference(spark, sf_dir):
+    """Links of a build without the personal tables against those of the whole one."""
+    before, after = build_crosswalk(spark, sf_dir, PERSONAL_TABLES), build_crosswalk(spark, sf_dir)
+    return _flat(link_diff(before, after), "before", "after")
+
+
 def privacy_report_diff(spark, sf_dir):
     return report_diff(_report(spark, sf_dir), _report(spark, sf_dir, PERSONAL_TABLES))
 
@@ -313,6 +317,6 @@ QUERIES: dict[str, Query] = {
         key_duplicates, key_profile, orphans, unlabelled_documents, date_quality,
         state_out_of_domain, fips_shapes, fips_disagreement, coordinate_coverage, marker_chars,
         qa_report, qa_samples, qa_tally, privacy_projection, privacy_link_diff,
-        privacy_report_diff,
+        link_difference, privacy_report_diff,
     )
-}
+} | analytics.QUERIES

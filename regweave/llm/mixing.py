@@ -4,12 +4,15 @@ The texts of a source, one after another, are one stream of words, cut into bloc
 `BLOCK` words. Every source is given a number of slots so that its words come to its
 target; a source's target stops at `MOST` times its size, so no block is used more
 often than that. A keyed permutation of all slots deals them to output shards: the
-source counts of a shard are a multinomial draw, given the sources' totals, so the
-targets are met and not only expected. A slot comes out with its shard, and the mix by
-shard in the order of its slots, so what the draw puts together stays together. Slots are
-generated, so Spark takes them for few; the joins say that they are not to be sent whole. The slots of a source run through its blocks in
-a pseudorandom order of their indexes, another one for each pass, and slots and blocks
-meet in a join by (source, block).
+source counts of a shard are those of a multinomial draw given the sources' totals (slots
+drawn without putting back), so the targets are met and not only expected. A slot comes out
+with its shard, and the mix by shard in the order of its slots, so what the draw puts
+together stays together. Slots are generated, pages of them by tasks whose number follows
+from the slots; Spark takes them for few, so the joins say that they are not to be sent
+whole. The slots of a source run through its blocks in a pseudorandom order of their
+indexes, another one for each pass, and slots and blocks meet in a join by (source, block).
+Texts take no part in any of this: they meet the places that the mix gives them once, are
+cut there, and move once more, to their shards.
 
 Permutations are "swap or not" networks: each round pairs x with K - x (mod n) and a
 hash of the pair decides which of the two it becomes. They work for any n, need no
@@ -21,7 +24,10 @@ offsets, over pages for its slots, and over blocks for the join.
 Defined results: a null or empty text has no words and is never taken; a null source is
 a source of its own, last in order; repeated rows and null ids are documents of their
 own; ties in the order of a stream fall to the id, then the text's hash; an empty table
-gives no rows; where no document has a word all targets are 0.
+gives no rows; where no document has a word all targets are 0; very long texts are cut
+once, whole, however many blocks they reach into; rows equal in id, source and text count
+each, and the mix has the other columns of one of them; extra columns stay as they are,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -37,8 +43,8 @@ from .common import WORD, table, word_count, written
 BLOCK = 128
 #: Weights of the sources in order, repeating; total of the mix and cap of a source, in sizes.
 WEIGHTS, TOTAL, MOST = (3, 1, 2), 1.5, 2.0
-#: Documents of a source placed together; slots generated by one row.
-CHUNK, PAGE = 2_000, 4_096
+#: Documents of a source placed together; slots generated by one row; rows of those in a task.
+CHUNK, PAGE, PAGES = 2_000, 4_096, 16
 ROUNDS, SEED = 16, 20_240_229
 
 
@@ -118,7 +124,9 @@ def slots_of(sources: DataFrame, shards: int) -> DataFrame:
         .withColumn("all_slots", F.sum("slots").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
         .where(F.col("slots") > 0)
     )
-    pages = counted.withColumn("page", F.explode(F.sequence(F.lit(0), F.ceil(F.col("slots") / PAGE) - 1))).repartition("sid", "page")
+    total = counted.agg(F.sum(F.ceil(F.col("slots") / PAGE))).first()[0] or 0
+    pages = counted.withColumn("page", F.explode(F.sequence(F.lit(0), F.ceil(F.col("slots") / PAGE) - 1)))
+    pages = pages.repartition(max(1, -(-total // PAGES)), "sid", "page")  # a number, which stays
     last = F.least((F.col("page") + 1) * PAGE, F.col("slots")) - 1
     ranks = pages.withColumn("rank", F.explode(F.sequence(F.col("page") * PAGE, last))).select(
         "sid", "blocks", "all_slots", (F.col("first") + F.col("rank")).alias("slot"),
@@ -163,9 +171,48 @@ def taken(mix: Mix) -> DataFrame:
     )
 
 
+def _dealt(docs: DataFrame, shards: int) -> DataFrame:
+    """The mix as rows (held, text, shard, slot) in the order of shards and slots; `held` has the
+    document's other columns."""
+    keys = [F.xxhash64(F.lit(k), F.col("doc_id").cast("long"), "source", "text").alias(f"key{k}") for k in (1, 2)]
+    held = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("held")
+    mix = plan(written(rows_of(docs, *keys), "mix"), shards)
+    first = F.greatest(F.col("start"), F.col("block") * BLOCK) - F.col("start")
+    placed = pieces(mix.docs, "key1", "key2").where("words > 0").select(
+        "sid", "block", "key1", "key2", "row_no", first.cast("int").alias("first"), F.col("words").cast("int").alias("words")
+    )
+    # At most MOST blocks' worth of places for each of the document's own.
+    places = placed.join(mix.slots.hint("merge"), ["sid", "block"]).groupBy("key1", "key2", "sid", "row_no").agg(
+        F.collect_list(F.struct("shard", "slot", "first", "words")).alias("places")
+    )
+    texts = docs.select(*keys, F.coalesce("text", F.lit("")).alias("text"), held).dropDuplicates(["key1", "key2"])
+    found = F.regexp_extract_all("text", F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1))
+    cut = F.transform("p", lambda x: F.struct(
+        x["shard"].alias("shard"), x["slot"].alias("slot"), x["first"].alias("first"),
+        F.array_join(F.slice(F.col("w"), x["first"] + 1, x["words"]), "").alias("text"),
+    ))
+    # The words of a text are found once: the array is a column of its own before the places are read.
+    whole = texts.join(places.hint("merge"), ["key1", "key2"]).select("held", F.col("places").alias("p"), F.explode(F.array(found)).alias("w"))
+    out = whole.select("held", F.explode(cut).alias("x")).select("held", "x.*")
+    return out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot", "first").drop("first")
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    """The columns of the table from a row of the mix."""
+    columns = []
+    for name in docs.columns:
+        if name == "text":
+            columns.append(F.col("text"))
+        elif name == "n_chars":
+            columns.append(F.length("text").cast(docs.schema[name].dataType).alias(name))
+        else:
+            columns.append(F.col("held").getField(name).alias(name))
+    return columns
+
+
 def mixed(docs: DataFrame, shards: int = 64) -> DataFrame:
     """The mix as rows of the table, by shard in the order of its slots (see dealt)."""
-    return dealt(docs, shards).select(*docs.columns)
+    return _dealt(docs, shards).select(*_columns(docs))
 
 
 def dealt(docs: DataFrame, shards: int = 64) -> DataFrame:
@@ -176,30 +223,7 @@ def dealt(docs: DataFrame, shards: int = 64) -> DataFrame:
     first word is lost) and `n_chars`, if there, its length; the other columns are the
     document's.
     """
-    held = F.struct(*(c for c in docs.columns if c != "text")).alias("_held")
-    part = f"({WORD}[\\x20\\x09-\\x0D]*)"
-    mix = plan(written(rows_of(docs.withColumn("_held", held), "text", "_held"), "mix"), shards)
-    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(part), F.lit(1))
-    first = F.floor(F.col("start") / BLOCK)
-    rows = mix.docs.where(F.col("size") > 0).select("sid", "start", "size", "_held", found.alias("_words"))
-    last = F.floor((F.col("start") + F.col("size") - 1) / BLOCK)
-
-    def cut(block: Column) -> Column:
-        a = F.greatest(F.col("start"), block * BLOCK) - F.col("start")
-        b = F.least(F.col("start") + F.col("size"), (block + 1) * BLOCK) - F.col("start")
-        return F.struct(block.alias("block"), F.array_join(F.slice("_words", (a + 1).cast("int"), (b - a).cast("int")), "").alias("text"))
-
-    parts = rows.select("sid", "_held", F.explode(F.transform(F.sequence(first, last), cut)).alias("_p"), "start").select("sid", "start", "_held", "_p.*")
-    out = parts.join(mix.slots.hint("merge"), ["sid", "block"]).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot", "start")
-    columns = [F.col("shard").alias("_shard"), F.col("slot").alias("_slot")]
-    for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("text"))
-        elif name == "n_chars":
-            columns.append(F.length("text").cast(docs.schema[name].dataType).alias(name))
-        else:
-            columns.append(F.col("_held").getField(name).alias(name))
-    return out.select(*columns)
+    return _dealt(docs, shards).select(F.col("shard").alias("_shard"), F.col("slot").alias("_slot"), *_columns(docs))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,11 +11,17 @@ block gives one matrix, a scan over the blocks' matrices gives the best role at
 border, and every block is then repaired by itself between its two borders. Almost all
 conversations are one block and skip the first two steps.
 
-Defined results: turns go by number, null last, then by the hash of role and text; exact
-repeats of a turn (same conversation, number, role, text) are one turn that tells how many
-copies it stands for; a null or unknown role costs `GUESS` to read as any; a null text is
-empty; rows with a null conversation are one conversation; an empty table gives no rows.
-Among repairs of equal cost the earliest in the order keep, relabel, merge, insert wins.
+A conversation is rendered block by block: the fragments of its turns, one after another,
+closed by END, are its text, and a block is never longer than its turns are.
+
+Defined results: turns go by number, null last, then by the hash of role, text and copy;
+exact repeats of a numbered turn (same conversation, number, role, text) are one turn that
+tells how many copies it stands for, repeats without a number are turns of their own; a
+null or unknown role costs `GUESS` to read as any; a null text is empty; rows with a null
+conversation are one conversation; very long texts are passed on whole; other columns are
+not read; an empty table gives no rows. Among repairs of equal cost the earliest in the
+order keep, merge, insert wins. Giving a turn another role costs more than an empty turn
+before it, so an answer that opens a conversation stays an answer.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from .common import matched, table
 ROLES = ("system", "user", "assistant")
 START = 3
 #: Costs of a repair.
-GUESS, MERGE, RELABEL, INSERT = 1, 2, 3, 4
+GUESS, MERGE, RELABEL, INSERT = 1, 2, 5, 4
 #: Turns a block spans, and distinct turns from which a span is cut further.
 SPAN, LIMIT = 1024, 4096
 #: What may follow what (role numbers; START before the first turn).
@@ -107,7 +113,7 @@ def repair(roles: list[int | None], entry: int = START, leave: int | None = None
 
 
 def fragment(role: str, choice: Choice, text: str, first: bool) -> str:
-    """What a turn adds to the rendered conversation; the last one still lacks its END."""
+    """What a turn adds to the rendered conversation, which END closes."""
     if choice[2] == "merge":
         return "\n" + text
     inserted = f"<|{ROLES[choice[3]]}|>\n{END}" if choice[3] is not None else ""
@@ -124,8 +130,14 @@ def _blocks(turns: DataFrame, span: int, limit: int) -> DataFrame:
     turns = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     ).groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+    # Without a number every copy is a turn.
+    apart = F.when(F.col("turn").isNull(), F.sequence(F.lit(1).cast("long"), F.col("copies"))).otherwise(F.array(F.lit(0).cast("long")))
+    turns = turns.withColumn("copy", F.explode(apart)).withColumn(
+        "copies", F.when(F.col("turn").isNull(), F.lit(1).cast("long")).otherwise(F.col("copies"))
+    )
     turns = turns.withColumn("span", F.coalesce(F.floor(F.col("turn") / span), F.lit((1 << 62))))
-    turns = turns.withColumn("tie", F.pmod(F.xxhash64("role", "text"), F.lit(1 << 31)))
+    tie = F.when(F.col("copy") == 0, F.xxhash64("role", "text")).otherwise(F.xxhash64("role", "text", "copy"))
+    turns = turns.withColumn("tie", F.pmod(tie, F.lit(1 << 31))).drop("copy")
     # Spans with too many turns: by turn, and by ranges of the hash within a turn.
     crowds = turns.groupBy("conv_id", "span", "turn").count()
     spans = crowds.groupBy("conv_id", "span").agg(F.sum("count").alias("n")).where(F.col("n") > limit).drop("n")
@@ -154,12 +166,9 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[t
         yield key, held
 
 
-def repaired(turns: DataFrame, *, span: int = SPAN, limit: int = LIMIT) -> DataFrame:
-    """Every distinct turn with its new role, what was done, and its rendered fragment.
-
-    A conversation's fragments in the order of (span, part, turn, tie, role, text), closed by
-    END, are its rendered text.
-    """
+def _mended(turns: DataFrame, span: int, limit: int) -> DataFrame:
+    """Blocks sorted and together, with the states at their borders, their number in the
+    conversation and whether it ends there."""
     blocks = _blocks(turns, span, limit)
     def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (conv, of, part), rows in _by_block(batches):
@@ -187,50 +196,92 @@ def repaired(turns: DataFrame, *, span: int = SPAN, limit: int = LIMIT) -> DataF
             borders.append((came[state], state))
             state = came[state]
         blocks_of["entry"], blocks_of["leave"] = zip(*borders[::-1])
-        return blocks_of[["conv_id", "span", "part", "entry", "leave"]]
+        blocks_of["number"] = range(len(blocks_of))
+        blocks_of["ends"] = blocks_of["number"] == len(blocks_of) - 1
+        return blocks_of[["conv_id", "span", "part", "entry", "leave", "number", "ends"]]
 
     several = blocks.select("conv_id", "span", "part").distinct().groupBy("conv_id").count().where("count > 1").select("conv_id")
     long = matched(blocks, several, ["conv_id"], "left_semi").repartition("conv_id", "span", "part").sortWithinPartitions(*_ORDER)
     borders = long.select(*_ORDER).mapInArrow(
         matrix, "conv_id long, span long, part array<long>, costs array<double>"
-    ).groupBy("conv_id").applyInPandas(scan, "conv_id long, span long, part array<long>, entry int, leave int")
-    joined = matched(blocks, borders, ["conv_id", "span", "part"], "left").select(
-        *_ORDER, "copies", F.coalesce("entry", F.lit(START)).alias("entry"), "leave"
+    ).groupBy("conv_id").applyInPandas(
+        scan, "conv_id long, span long, part array<long>, entry int, leave int, number long, ends boolean"
+    )
+    return matched(blocks, borders, ["conv_id", "span", "part"], "left").select(
+        *_ORDER, "copies", F.coalesce("entry", F.lit(START)).alias("entry"), "leave",
+        F.coalesce("number", F.lit(0).cast("long")).alias("number"), F.coalesce("ends", F.lit(True)).alias("ends"),
     ).repartition("conv_id", "span", "part").sortWithinPartitions(*_ORDER)
 
+
+def _repairs(rows: list[tuple]) -> Iterator[tuple[tuple, str, Choice, str]]:
+    """A block's turns with their new role, what was done, and what they add to the text."""
+    done = repair([role_number(r[5]) for r in rows], rows[0][8], rows[0][9])
+    for k, (r, (to, choice)) in enumerate(zip(rows, done)):
+        text = fragment(ROLES[to], choice, r[6] or "", k == 0 and r[8] == START)
+        yield r, ROLES[to], choice, text + (END if r[11] and k == len(rows) - 1 else "")
+
+
+def repaired(turns: DataFrame, *, span: int = SPAN, limit: int = LIMIT) -> DataFrame:
+    """Every turn with its new role, what was done, and its rendered fragment.
+
+    A conversation's fragments in the order of (span, part, turn, tie, role, text) are its
+    rendered text.
+    """
     names = ["conv_id", "turn", "role", "copies", "new_role", "action", "inserted", "fragment", "span", "part", "tie"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for _, rows in _by_block(batches):
-            done = repair([role_number(r[5]) for r in rows], rows[0][8], rows[0][9])
-            for k, (r, (to, choice)) in enumerate(zip(rows, done)):
-                text = fragment(ROLES[to], choice, r[6] or "", k == 0 and r[8] == START)
+            for r, role, choice, text in _repairs(rows):
                 inserted = None if choice[3] is None else ROLES[choice[3]]
-                out.append((r[0], r[3], r[5], r[7], ROLES[to], choice[2], inserted, text, r[1], r[2], r[4]))
+                out.append((r[0], r[3], r[5], r[7], role, choice[2], inserted, text, r[1], r[2], r[4]))
             if len(out) >= 2048:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
                 out = []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-    return joined.mapInArrow(
+    return _mended(turns, span, limit).mapInArrow(
         mend, "conv_id long, turn long, role string, copies long, new_role string, action string, inserted string, "
         "fragment string, span long, part array<long>, tie long"
     )
 
 
+_TEXT = "conv_id long, block long, turns long, copies long, relabelled long, merged long, inserted long, text string"
+
+
+def rendered_blocks(turns: DataFrame, *, span: int = SPAN, limit: int = LIMIT) -> DataFrame:
+    """The text of every conversation in blocks numbered from 0, with what was repaired there."""
+    names = [x.split()[0] for x in _TEXT.split(", ")]
+    kinds = [pa.int64()] * 7 + [pa.string()]
+
+    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for (conv, _, _), rows in _by_block(batches):
+            done = list(_repairs(rows))
+            actions = [choice[2] for _, _, choice, _ in done]
+            text = "".join(x for _, _, _, x in done)
+            out.append((
+                conv, rows[0][10], len(rows), sum(r[7] for r in rows), actions.count("relabel"), actions.count("merge"),
+                sum(choice[3] is not None for _, _, choice, _ in done), text,
+            ))
+            size += len(text)
+            if size > 1 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    return _mended(turns, span, limit).mapInArrow(render, _TEXT)
+
+
 def rendered(fragments: DataFrame) -> DataFrame:
     """One text a conversation, for conversations that fit a row."""
     parts = F.sort_array(F.collect_list(F.struct("span", "part", F.coalesce("turn", F.lit(1 << 62)), "tie", "role", "fragment")))
-    return fragments.groupBy("conv_id").agg(parts.alias("p")).select(
-        "conv_id", F.concat(F.array_join(F.col("p.fragment"), ""), F.lit(END)).alias("text")
-    )
+    return fragments.groupBy("conv_id").agg(parts.alias("p")).select("conv_id", F.array_join(F.col("p.fragment"), "").alias("text"))
 
 
 def op7_repair_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, repaired and rendered turn by turn."""
-    return repaired(table(spark, sf_dir, "conversations")).select(
-        "conv_id", "turn", "role", "copies", "new_role", "action", "inserted", "fragment"
-    )
+    """All conversations, repaired and rendered, in numbered blocks."""
+    return rendered_blocks(table(spark, sf_dir, "conversations"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that every executor can reach."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Paths that scratch() gives inside are deleted at the end: what reads them must have run."""
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(outer)
+        for path in made:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def written(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataFrame:

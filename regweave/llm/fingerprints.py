@@ -118,24 +118,26 @@ def _ranges(docs: DataFrame) -> tuple[list[int], int | None]:
 
 
 def _range_of(doc_id: Column, cuts: list[int]) -> Column:
-    """How many cuts are at or below the id; looked up in two steps."""
+    """How many cuts are at or below the id, and the last of them; looked up in two steps."""
     if not cuts:
-        return F.lit(0)
+        return F.struct(F.lit(0).alias("at"), F.lit(None).cast("long").alias("cut"))
     side = max(1, int(len(cuts) ** 0.5))
     groups = [cuts[k:k + side] for k in range(0, len(cuts), side)]
     tops = F.array(*(F.lit(g[0]).cast("long") for g in groups))
     inner = F.array(*(F.array(*(F.lit(c).cast("long") for c in g)) for g in groups))
     at = F.size(F.filter(tops, lambda c: c <= doc_id))
     own = F.filter(F.get(inner, at - 1), lambda c: c <= doc_id)
-    return F.when(doc_id.isNull(), len(cuts)).when(at == 0, 0).otherwise((at - 1) * side + F.size(own))
+    none = F.lit(None).cast("long")
+    return F.when(doc_id.isNull(), F.struct(F.lit(len(cuts)).alias("at"), none.alias("cut"))).when(
+        at == 0, F.struct(F.lit(0).alias("at"), none.alias("cut"))
+    ).otherwise(F.struct(((at - 1) * side + F.size(own)).alias("at"), F.element_at(own, -1).alias("cut")))
 
 
 def beside_next(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text) with range, order and whether a row is a copy from the range after."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts, least = _ranges(docs)
-    at = _range_of(F.col("doc_id"), cuts)
-    opens = F.array_contains(F.array(*(F.lit(c).cast("long") for c in cuts)), F.col("doc_id")) if cuts else F.lit(False)
+    opens = F.col("_cut") == F.col("doc_id")
 
     def place(part: Column, late: bool, copy: bool) -> Column:
         return F.struct(part.cast("int").alias("range"), F.lit(late).alias("late"), F.lit(copy).alias("copy"))
@@ -145,7 +147,9 @@ def beside_next(docs: DataFrame) -> DataFrame:
         F.when(opens, place(F.col("_at") - 1, False, True)),
         F.when(F.col("doc_id") == F.lit(least).cast("long"), place(F.lit(len(cuts)), True, True)),
     )
-    return docs.withColumn("_at", at).withColumn(
+    return docs.withColumn("_range", _range_of(F.col("doc_id"), cuts)).select(
+        "doc_id", "text", F.col("_range.at").alias("_at"), F.col("_range.cut").alias("_cut")
+    ).withColumn(
         "_p", F.explode(F.filter(places, lambda p: p.isNotNull()))
     ).select("doc_id", "text", F.xxhash64("text").alias("tie"), "_p.*")
 

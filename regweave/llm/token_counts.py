@@ -7,12 +7,14 @@ number of blocks before; a prefix scan over the blocks - how many documents ende
 and where the last one did - puts the numbers right. A document may span many blocks, a
 block may hold no end at all.
 
-Files are read by Spark, so they may lie in any store; a file must fit a Java array (2 GB),
-and `write_flat` keeps its files far below.
+Files are read by Spark, so they may lie in any store; a file must fit a Java array (2 GB).
+`write_flat` keeps its files below FILE_BYTES by the longest text there is, but for a text
+that is longer than that by itself.
 
 Defined results: a null text is empty and counts 0 tokens; an empty file has no documents;
 ids after the last end are a last document with terminated false; two ends in a row are an
-empty document; repeated and null ids are documents of their own.
+empty document; repeated and null ids are documents of their own; very long texts span blocks
+and shorten the files' lists; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,17 +31,24 @@ from .tokens import default_vocabulary, encoder
 
 #: Fixed value: the vocabulary's end-of-text id. Bytes of an id.
 END_ID, WIDTH = 50_256, 2
-#: Ids of a block; documents of a file.
-BLOCK, FILE_DOCS = 1 << 20, 4_000
+#: Ids of a block; documents of a file, and its bytes.
+BLOCK, FILE_DOCS, FILE_BYTES = 1 << 20, 4_000, 256 << 20
 
 
-def write_flat(docs: DataFrame, path: str, *, vocabulary: str | None = None) -> DataFrame:
+def docs_per_file(docs: DataFrame) -> int:
+    """So many of even the longest text keep a file below FILE_BYTES: an id is a byte of text at least."""
+    longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
+    return max(1, min(FILE_DOCS, FILE_BYTES // (WIDTH * (longest + 1))))
+
+
+def write_flat(docs: DataFrame, path: str, *, vocabulary: str | None = None, per_file: int | None = None) -> DataFrame:
     """Write the texts' ids as flat files of little-endian 16-bit ids, in the order of the rows.
 
-    Gives the rows (doc_id, part, place): a document is number place % FILE_DOCS of the part's
-    file place // FILE_DOCS. The rows must come straight from files, so that their order is
+    Gives the rows (doc_id, part, place): a document is number place % per_file of the part's
+    file place // per_file. The rows must come straight from files, so that their order is
     the same each time they are read.
     """
+    per_file = per_file or docs_per_file(docs)
     vocabulary = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +66,7 @@ def write_flat(docs: DataFrame, path: str, *, vocabulary: str | None = None) ->
     ids = docs.select("text").mapInArrow(encode, "ids binary")
     (
         ids.select(F.col("ids").cast("string")).write.option("lineSep", end).option("encoding", "ISO-8859-1")
-        .option("compression", "none").option("maxRecordsPerFile", FILE_DOCS).text(path)
+        .option("compression", "none").option("maxRecordsPerFile", per_file).text(path)
     )
     at = F.monotonically_increasing_id()  # task in the upper bits, row in the lower 33
     return docs.select("doc_id", at.alias("_at")).select(
@@ -111,11 +120,13 @@ def document_spans(files: DataFrame, *, width: int = WIDTH, end_id: int = END_ID
 def op1_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, by way of flat token files."""
     path = scratch(spark, "flat")
-    rows = write_flat(table(spark, sf_dir, "documents"), path)
+    docs = table(spark, sf_dir, "documents")
+    per_file = docs_per_file(docs)
+    rows = write_flat(docs, path, per_file=per_file)
     name = r"part-(\d+)-.*-c(\d+)[^/]*$"
     spans = document_spans(read_flat(spark, path)).select(
         F.regexp_extract("path", name, 1).cast("long").alias("part"),
-        (F.regexp_extract("path", name, 2).cast("long") * FILE_DOCS + F.col("ordinal")).alias("place"),
+        (F.regexp_extract("path", name, 2).cast("long") * per_file + F.col("ordinal")).alias("place"),
         "start", "n_tokens", "terminated",
     )
     missing = F.raise_error(F.lit("the rows were not read in the order they were written")).cast("long")

@@ -1,7 +1,12 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage reads the table its predecessor wrote and works on all of it. All but the last
-give the columns of documents.
+give the columns of documents, whatever other columns there are beside them.
+
+Defined results: a null or empty text fails the quality rules and goes with its document;
+null ids are documents like others, as are rows that share one; of rows equal in id and text
+one stays; very long texts pass whole and are cut only by the mix and the packing; where
+nothing is kept, or the table is empty, there are no sequences.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regweave.llm import jaccard_join, mixing, packing, pii, quality
-from regweave.llm.common import table, written
+from regweave.llm.common import delete, passing_tables, scratch, table
 from regweave.llm.tokens import added_tokens
 
 
@@ -51,10 +56,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; every stage's result is a table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"stage{k}")
-    return docs
+    """All stages over documents; every stage's result is a table in the shared folder, which
+    goes, with the tables its stage needed, once the next one has been written."""
+    docs, held = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        path = scratch(spark, f"stage{k}")
+        with passing_tables(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if held:
+            delete(spark, held)
+        held = path
+    return STAGES[-1][1](spark, docs, sf_dir)

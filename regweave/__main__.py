@@ -6,6 +6,7 @@
     python -m regweave STORE qa [--only-problems] [--json PATH]
     python -m regweave STORE query SQL [--limit N | --csv PATH]
     python -m regweave STORE export PATH [--table NAME | --sql SQL]
+    python -m regweave STORE lookup FACILITY
     python -m regweave STORE info
 """
 
@@ -17,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession, functions as F
 
 from regweave.operators import quality
-from regweave.plans import build as plans
+from regweave.plans import build as plans, layout
 from regweave.plans.landing import drift, land_archive
 from regweave.session import ENGINE_CONF
 from regweave.sources.storage import Store
@@ -42,6 +43,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     query.add_argument("sql", help="Spark SQL, or - for standard input")
     query.add_argument("--limit", type=int, default=40, help="rows shown")
     query.add_argument("--csv", metavar="PATH", help="write all rows to PATH (.csv) instead of showing some")
+    lookup = commands.add_parser("lookup")
+    lookup.add_argument("facility", help="registry id")
     export = commands.add_parser("export")
     export.add_argument("path")
     export.add_argument("--table", default="crosswalk")
@@ -85,6 +88,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             plans.export(rows, args.csv)
         else:
             rows.show(args.limit, truncate=False)
+    elif args.command == "lookup":
+        rows = layout.lookup(store, args.facility)
+        rows.orderBy(*rows.columns[:2]).show(1000, truncate=False)
     elif args.command == "export":
         layers = plans.open_layers(store)
         frame = layers.query(spark, args.sql) if args.sql else layers.relation(args.table)

@@ -11,7 +11,8 @@ from regweave.operators import links as lk, quality
 from regweave.operators.integrity import row_counts
 from regweave.operators.subset import water_system
 from regweave.plans.landing import Landed, land_archive, raw_name
-from regweave.registry import REGISTRY_KEY, SPECS, registry_frame
+from regweave.plans.layout import publish_links
+from regweave.registry import SPECS, registry_frame
 from regweave.sources.storage import Store
 
 BUILT = ("crosswalk", "crosswalk_sources", "water_system")
@@ -36,8 +37,8 @@ def open_layers(store: Store, only: list[str] | None = None) -> Layers:
     return Layers(raw, {t: store.read(t) for t in BUILT if store.has(t)})
 
 
-def _replace(store: Store, name: str, frame: DataFrame, **options: str) -> DataFrame:
-    path = store.write(name, frame, **options)
+def _replace(store: Store, name: str, frame: DataFrame) -> DataFrame:
+    path = store.write(name, frame)
     store.keep_only(name, path)
     return store.read(name)
 
@@ -53,12 +54,8 @@ def build(store: Store, *, with_crosswalk: bool = True) -> Built:
     if not (with_crosswalk and base.raw):
         return info
 
-    # Within a partition rows lie by program, so readers of one program skip row
-    # groups; a bloom filter serves the lookup of one facility. Neither shuffles.
-    ordered = lk.crosswalk(base.link_inputs()).sortWithinPartitions(lk.ACRONYM, REGISTRY_KEY)
-    links = _replace(
-        store, "crosswalk", ordered, **{f"parquet.bloom.filter.enabled#{REGISTRY_KEY}": "true"}
-    )
+    # Laid out by facility: a lookup opens its file, a join by facility reads in order.
+    links = publish_links(store, lk.crosswalk(base.link_inputs()))
     info.crosswalk_rows = links.count()
     _replace(store, "crosswalk_sources", lk.crosswalk_sources(store.spark, base.raw))
     if {"environmental_interest", "facility"} <= set(base.raw):

@@ -1,5 +1,7 @@
 """Each command against a store, in one session."""
 
+from tests.conftest import MILL
+
 from regweave.__main__ import arguments, run
 
 
@@ -16,6 +18,9 @@ def test_commands(spark, mini_archive, tmp_path, capsys):
     assert "0 fail, 42 ok, 11 warn" in out and "rows.facility" not in out
     call(spark, store, "query", "SELECT count(*) AS systems FROM water_system")
     assert "|5 " in capsys.readouterr().out
+    call(spark, store, "lookup", MILL)
+    out = capsys.readouterr().out
+    assert "50309QRRYL" in out and "IA0000042" not in out
     call(spark, store, "info")
     assert "environmental_interest" in capsys.readouterr().out
     call(spark, store, "export", tmp_path / "x.csv", "--sql", "SELECT * FROM crosswalk")

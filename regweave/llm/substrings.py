@@ -7,11 +7,14 @@ together and sorted there:
 - Every string of DEPTH bytes has an anchor, the GRAM bytes in it whose hash is least.
   Equal strings have equal anchors at the same place, so only anchors that occur twice in
   the corpus matter, about one in 85 bytes. An anchor's context is all strings it can anchor.
-- Equal contexts of an anchor fold into one, with the number of its places, before
-  anything is sorted: a thousand copies send one.
+- Equal contexts of an anchor fold into one, with the number of its places: each string in a
+  context with two places is repeated, and nothing more is asked about it. Where an anchor has
+  no other context, as in copies of a text, nothing is sent or sorted at all.
+- A string of DEPTH bytes reaches REACH bytes beyond its anchor to one side at least. A context
+  that shares neither side, so far, with another context of its anchor has no repeats and is
+  left out: anchors that recur by chance end here.
 - A text goes by a key, a hash of its id and itself: rows that differ in either are texts of
-  their own, and rows equal in both share their places, which are counted. Keys that clash by
-  chance could only hide a string all of whose places are in the clashing texts, at one offset.
+  their own, and rows equal in both share their places, which are counted.
 - An anchor's home is the least id that has it (a null one counts as its row's key): rows of
   one id have one home, which only groups work. Documents send the stretches around
   anchors to their homes, overlapping contexts as one stretch. A task sorts the suffixes of
@@ -21,11 +24,13 @@ together and sorted there:
   more bytes in common than the anchor, and are grouped by those. Halves that are equal
   fold, halves that stand alone are done, and groups that are still crowded are halved
   again, down to single strings, of which equal ones are all the same.
-- What is repeated in a context then holds wherever the context stands.
+- What is repeated in a context then holds wherever the context stands: the places of a text
+  take the repeats of their contexts along, and the text only cuts them out.
 
 Texts travel compressed. Defined results: a null text is empty; texts shorter than DEPTH
 keep everything; repeated rows are repeats of each other, ids equal or not; null ids are
-rows like others; an empty table gives no rows.
+rows like others; very long texts are worked on whole, one at a time; other columns are not
+read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,12 +44,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, parts, slices, table, unpacked, written
+from .common import packed, parts, slices, slide, table, unpacked, written
 from .suffix_array import DEPTH, repeated_places
 
 GRAM = 32
 #: Gram starts in a string of DEPTH bytes.
 STARTS = DEPTH - GRAM + 1
+#: Bytes beside the anchor that a string has on one side at least.
+REACH = STARTS // 2
 #: Places of a context's first pieces; a power of two.
 HALF = 128
 #: Contexts a home may draw; bytes whose suffixes are sorted together at least.
@@ -53,15 +60,6 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
-    """pick (minimum or maximum) over each run of `width` values."""
-    k = 1
-    while 2 * k <= width:
-        x = pick(x[:-k], x[k:])
-        k *= 2
-    return pick(x[:k - width], x[width - k:]) if k < width else x
-
-
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of all anchors, the hash of every gram, and the least hash of every string."""
     none = np.zeros(0, dtype=np.uint64)
@@ -77,9 +75,9 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             grams *= _ODD2
         grams ^= grams >> np.uint64(32)
         grams *= _ODD
-    least = _slide(grams, STARTS, np.minimum)
+    least = slide(grams, STARTS, np.minimum)
     edge = np.zeros(STARTS - 1, dtype=np.uint64)
-    reach = _slide(np.concatenate([edge, least, edge]), STARTS, np.maximum)
+    reach = slide(np.concatenate([edge, least, edge]), STARTS, np.maximum)
     return np.flatnonzero(grams == reach), grams, least
 
 
@@ -89,6 +87,15 @@ def context(data: bytes, at: int) -> tuple[int, int, int]:
     return a, b, _signed(xxhash.xxh3_64_intdigest(data[a:b], seed=at - a))
 
 
+def sides(data: bytes, at: int) -> tuple[int | None, int | None]:
+    """Hashes of an anchor with REACH bytes before it and with REACH bytes after it, where there are as many."""
+    a, b = at - REACH, at + GRAM + REACH
+    return (
+        _signed(xxhash.xxh3_64_intdigest(data[a:at + GRAM])) if a >= 0 else None,
+        _signed(xxhash.xxh3_64_intdigest(data[at:b], seed=1)) if b <= len(data) else None,
+    )
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -108,7 +115,11 @@ def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], ["g", "n"])
 
 
+_PLACES = ["g", "c", "doc", "key", "ats", "before", "after"]
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contexts of each text, with their places in it."""
     for batch in batches:
         for part in slices(batch):
             rows = []
@@ -116,12 +127,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, grams, _ = anchors(data)
                 seen: dict[tuple[int, int], list[int]] = {}
                 for p, g in zip(at.tolist(), grams[at].view(np.int64).tolist()):
-                    seen.setdefault((g, context(data, p)[2]), [p, 0])[1] += 1
-                rows += [(g, c, doc, key, p, n) for (g, c), (p, n) in seen.items()]
+                    seen.setdefault((g, context(data, p)[2]), []).append(p)
+                rows += [(g, c, doc, key, ps, *sides(data, ps[0])) for (g, c), ps in seen.items()]
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in zip(*rows)], ["g", "c", "doc", "key", "at", "n"]
-                )
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.int64()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], _PLACES)
 
 
 _MEMBER = pa.struct([(x, pa.int64()) for x in ("at", "g", "c", "n")])
@@ -234,10 +244,11 @@ def _sort_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for (_, _, first, data, members), hit in zip(held, hits):
             for m in members:
+                if m["n"] > 1:  # known to be repeated as a whole
+                    continue
                 at = m["at"] - first
                 a, b = max(0, at - STARTS + 1), min(at, len(data) - DEPTH) + 1
-                own = np.arange(a, b) if m["n"] > 1 else np.flatnonzero(hit[a:b]) + a
-                if spans := _spans(own - at):
+                if spans := _spans(np.flatnonzero(hit[a:b]) + a - at):
                     rows.append((m["g"], m["c"], [x for x, _ in spans], [y for _, y in spans]))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = zip(*rows) if rows else [[]] * 4
@@ -267,14 +278,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for doc_id, packed, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 data, kept, spans = unpacked(packed), [], []
-                if marks:
-                    known: dict[tuple[int, int], list[tuple[int, int]]] = {}
-                    for m in marks:
-                        known.setdefault((m["g"], m["c"]), []).extend(zip(m["lo"], m["hi"]))
-                    at, grams, _ = anchors(data)
-                    for p, g in zip(at.tolist(), grams[at].view(np.int64).tolist()):
-                        spans += [(p + x, p + y) for x, y in known.get((g, context(data, p)[2]), ())]
-                    spans.sort()
+                for m in marks or ():
+                    spans += [(max(0, p + x), min(len(data), p + y)) for p in m["ats"] for x, y in zip(m["lo"], m["hi"])]
+                spans.sort()
                 merged: list[list[int]] = []
                 for a, b in spans:
                     if merged and a <= merged[-1][1]:
@@ -299,10 +305,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts.mapInArrow(_anchor_counts, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g"),
         "anchors",
     )
-    places = written(texts.mapInArrow(_contexts, "g long, c long, doc long, key long, at long, n long").join(twice, "g"), "places")
-    homes = places.groupBy("g").agg(F.min("doc").alias("home"))
-    folded = places.groupBy("g", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "key", "at")).alias("p")).join(homes, "g")
-    folded = written(folded.select("g", "c", "n", "p.key", "p.at", "home"), "folded")
+    schema = "g long, c long, doc long, key long, ats array<long>, before long, after long"
+    places = written(texts.mapInArrow(_contexts, schema).join(twice, "g"), "places")
+    # Equal contexts have equal sides.
+    contexts = places.groupBy("g", "c", "before", "after").agg(
+        F.sum(F.size("ats")).alias("n"), F.min(F.struct("doc", "key", F.col("ats")[0].alias("at"))).alias("p")
+    )
+    contexts = written(contexts.select("g", "c", "before", "after", "n", "p.*"), "contexts")
+    reached = contexts.select("g", "c", F.explode(F.array("before", "after")).alias("side")).where("side is not null")
+    shared = reached.groupBy("side").agg(F.count("*").alias("kinds")).where("kinds > 1").select("side")
+    live = reached.join(shared, "side").select("g", "c").distinct()
+    folded = contexts.select("g", "c", "n", "doc", "key", "at").join(live, ["g", "c"])
+    homes = folded.groupBy("g").agg(F.min("doc").alias("home"))
+    folded = written(folded.drop("doc").join(homes, "g"), "folded")
     crowds = folded.groupBy("home").count().where(F.col("count") > HOME_CONTEXTS).select("home", F.lit(True).alias("crowded"))
     wanted = folded.join(crowds, "home", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))).groupBy("key").agg(
         F.collect_list(F.struct("at", "g", "c", "n", "home", "crowded")).alias("wanted")
@@ -320,8 +335,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         halve = partial(_halve, width=max(width, 1))
         crowded = written(many.mapInArrow(halve, _SENT_SCHEMA), "pieces").drop("crowded")
     sorted_ = stretches.repartition("home").sortWithinPartitions("home", "key", "first").mapInArrow(_sort_homes, result)
-    repeats = written(reduce(DataFrame.unionByName, repeats, sorted_), "repeats")
-    marks = places.join(repeats, ["g", "c"]).groupBy("key").agg(F.collect_set(F.struct("g", "c", "lo", "hi")).alias("marks"))
+    whole = contexts.where("n > 1").select(
+        "g", "c", F.array(F.lit(1 - STARTS).cast("long")).alias("lo"), F.array(F.lit(DEPTH).cast("long")).alias("hi")
+    )
+    marks = places.join(reduce(DataFrame.unionByName, [whole, *repeats], sorted_), ["g", "c"]).groupBy("key").agg(
+        F.collect_set(F.struct("ats", "lo", "hi")).alias("marks")
+    )
     return moved.join(marks, "key", "left").select("doc_id", "data", "marks").mapInArrow(_cut, _CUT)
 
 

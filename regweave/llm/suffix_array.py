@@ -14,6 +14,8 @@ from __future__ import annotations
 import numpy as np
 
 DEPTH = 200
+#: Suffixes with equal first bytes that are compared in one go, about.
+TIES = 1 << 16
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -44,11 +46,16 @@ def _sort_directly(data: np.ndarray, words: np.ndarray, suffixes: np.ndarray) ->
     out, key = suffixes[order], key[order]
     tied = np.flatnonzero(key[1:] == key[:-1])
     if len(tied):
-        raw = data.tobytes()
         first = tied[np.concatenate([[True], np.diff(tied) > 1])]
         last = tied[np.concatenate([np.diff(tied) > 1, [True]])] + 2
-        for a, b in zip(first.tolist(), last.tolist()):
-            out[a:b] = sorted(out[a:b].tolist(), key=lambda i: raw[i + 8:i + DEPTH])
+        # Whole runs of ties, about TIES suffixes at a time, compared as strings.
+        padded = np.concatenate([data, np.zeros(DEPTH, dtype=np.uint8)])
+        strings = np.lib.stride_tricks.sliding_window_view(padded, DEPTH)
+        cuts = np.flatnonzero(np.diff(np.cumsum(last - first) // TIES, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(first)]):
+            at = np.concatenate([np.arange(x, y) for x, y in zip(first[a:b], last[a:b])])
+            own = out[at]
+            out[at] = own[np.argsort(np.ascontiguousarray(strings[own]).view(f"S{DEPTH}").ravel(), kind="stable")]
     return out
 
 

@@ -19,13 +19,18 @@ How it stays linear where many texts are alike:
 - The full candidate search then takes only pairs of different components, so a group
   that is linked already makes no pairs. A text whose prefix shares fewer shingles
   than any partner could ask for takes no part.
+- Each text has a signature of SIGNATURE bits, for each the parity of its shingles with that
+  hash. Two sets differ in at least as many shingles as their signatures in bits, so pairs
+  whose signatures differ by more than similar sets can are dropped where they are drawn up:
+  texts that share a shingle by chance make no rows.
 - Verification sends each text, compressed, to the hub it is compared with; a hub with many
   texts is split over tasks, each of which gets the hub's text.
 
 Frequencies only steer the order and l, never the result. They come from all texts: every
-task keeps a bounded summary of its most frequent shingles (those more frequent than
-1 / SUMMARY of its shingles are sure to be in it), and the HEAVY most frequent of all, a
-bounded table, go to every task.
+task keeps a bounded summary of its most frequent shingles and words (those more frequent
+than 1 / SUMMARY of them are sure to be in it), and the HEAVY most frequent of all, bounded
+tables, go to every task. A shingle in no table counts as often as its words would meet by
+chance: where shingles of rare words come first, unrelated texts share few of them.
 
 Defined results: a text without words, or null, has an empty set and links with nothing;
 with fewer words than a shingle the whole sequence is its one shingle; a row goes by its id
@@ -38,7 +43,9 @@ gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +62,9 @@ SUMMARY, HEAVY = 100_000, 100_000
 OFTEN = 8
 #: Most shared shingles asked for; cost of verifying a candidate, in postings.
 MOST_MATCHES, VERIFY = 8, 20
+#: Bits of a signature, in longs.
+SIGNATURE = 512
+WORDS_OF_SIGNATURE = [f"s{k}" for k in range(SIGNATURE // 64)]
 #: Texts compared with one hub in one group.
 HUB_TEXTS = 500
 
@@ -67,24 +77,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * _ODD
 
 
-def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
-    """The distinct shingles of each text as sorted 64-bit hashes."""
+def _words_of(texts: list[str]) -> tuple[list[list[bytes]], np.ndarray]:
+    """The words of each text and the hashes of all of them, one after another."""
     seen: dict[bytes, int] = {}
     found = [x.encode().lower().split() for x in texts]  # bytes: A-Z, ASCII spaces
     flat = [seen.setdefault(w, len(seen)) for ws in found for w in ws]
     kinds = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in seen), dtype=np.uint64, count=len(seen))
-    out, at = [], 0
-    with np.errstate(over="ignore"):
-        hashed = kinds[np.array(flat, dtype=np.int64)] if flat else kinds
-        for ws in found:
-            n, own = len(ws), hashed[at:at + len(ws)]
-            at += n
-            width = min(n, size)
-            key = np.full(max(n - width + 1, 0) if n else 0, width, dtype=np.uint64)
+    return found, kinds[np.array(flat, dtype=np.int64)] if flat else kinds
+
+
+def _shingles(found: list[list[bytes]], hashed: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, slice, int]]:
+    """For each text its shingles' hashes in order, where its words are, and words of a shingle."""
+    at = 0
+    for ws in found:
+        n, own = len(ws), hashed[at:at + len(ws)]
+        width = min(n, size)
+        key = np.full(max(n - width + 1, 0) if n else 0, width, dtype=np.uint64)
+        with np.errstate(over="ignore"):
             for k in range(width):
                 key = _mix(key * _ODD + own[k:n - width + 1 + k])
-            out.append(np.unique(key))
-    return out
+        yield key, slice(at, at + n), width
+        at += n
+
+
+def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit hashes."""
+    return [np.unique(key) for key, _, _ in _shingles(*_words_of(texts), size)]
+
+
+def signature(own: np.ndarray) -> np.ndarray:
+    """The parity of a set's shingles, by their lowest bits, as longs."""
+    odd = np.bincount((own % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -96,39 +120,61 @@ def links_only_equals(n: int, percent: int) -> bool:
     return n * 100 // percent == n
 
 
-class _Order:
-    """The global order of shingles: infrequent ones by hash, then frequent ones by count."""
+class _Counts:
+    """Counts of frequent hashes."""
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray):
         by = np.argsort(tokens)
         self.tokens, self.counts = tokens[by], counts[by]
 
-    def frequency(self, own: np.ndarray) -> np.ndarray:
+    def of(self, own: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
             return np.zeros(len(own), dtype=np.int64)
         at = np.minimum(np.searchsorted(self.tokens, own), len(self.tokens) - 1)
         return np.where(self.tokens[at] == own, self.counts[at], 0)
 
-    def prefix(self, own: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
+
+#: A doubling of a count, in the steps that order shingles.
+STEPS = 16
+
+
+class _Order:
+    """The global order of shingles: by their counts, those not counted by their words' and by hash."""
+
+    def __init__(self, shingles: _Counts, words: _Counts):
+        self.shingles, self.words = shingles, words
+        self.all_words = max(int(words.counts.sum()), 1)
+
+    def sets(self, texts: list[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The distinct shingles of each text, sorted, their counts, and the steps of chance."""
+        found, hashed = _words_of(texts)
+        steps = np.rint(STEPS * np.log2(np.maximum(self.words.of(hashed), 1))).astype(np.int64)
+        for key, where, width in _shingles(found, hashed, size):
+            own, first = np.unique(key, return_index=True)
+            each = steps[where]
+            chance = sum((each[k:len(key) + k] for k in range(width)), np.zeros(len(key), dtype=np.int64))
+            yield own, self.shingles.of(own), chance[first] - round(STEPS * (width - 1) * np.log2(self.all_words))
+
+    def prefix(self, own: np.ndarray, often: np.ndarray, steps: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
         """A set's prefix, its length for one match, and the matches it asks for."""
         a = least_overlap(len(own), percent)
         first = len(own) - a + 1
-        often = self.frequency(own)
-        by = np.lexsort((own, often))[: first + MOST_MATCHES - 1]
+        by = np.lexsort((own, steps, often))[: first + MOST_MATCHES - 1]
         most = min(MOST_MATCHES, a)
-        total = np.cumsum(np.maximum(often[by], 1))[first - 1:first - 1 + most]
+        texts = np.maximum(np.maximum(often[by], np.exp2(np.minimum(steps[by], 40 * STEPS) / STEPS)), 1)
+        total = np.cumsum(texts)[first - 1:first - 1 + most]
         matches = int(np.argmin(total * (1 + VERIFY / np.arange(1, len(total) + 1)))) + 1
         return own[by[:first + matches - 1]], first, matches
 
 
 class _Summary:
-    """The frequent shingles of a task, in bounded memory (Misra-Gries)."""
+    """The frequent hashes of a task, in bounded memory (Misra-Gries)."""
 
     def __init__(self):
         self.tokens, self.counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
 
-    def add(self, sets: list[np.ndarray]) -> None:
-        new, times = np.unique(np.concatenate(sets), return_counts=True)
+    def add(self, hashes: np.ndarray) -> None:
+        new, times = np.unique(hashes, return_counts=True)
         tokens, where = np.unique(np.concatenate([self.tokens, new]), return_inverse=True)
         counts = np.bincount(where, weights=np.concatenate([self.counts, times])).astype(np.int64)
         if len(tokens) > 4 * SUMMARY:
@@ -143,59 +189,74 @@ class _Summary:
         return tokens[top], counts[top]
 
 
-_BASE = "doc_id long, key long, n long, set_key binary, token long, count long"
+_BASE = "doc_id long, key long, n long, set_key binary, word boolean, token long, count long"
 
 
 def _base(docs: DataFrame, size: int) -> DataFrame:
-    """A row (doc_id, key, n, set_key) for each text, and rows (token, count) of each task's summary."""
+    """A row (doc_id, key, n, set_key) for each text, and rows (word, token, count) of each task's
+    summaries, of shingles and of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = _Summary()
+        shingles, words = _Summary(), _Summary()
         names = [x.strip().split(" ")[0] for x in _BASE.split(",")]
         for batch in batches:
             for part in slices(batch):
-                sets = shingle_sets([x or "" for x in part.column(1).to_pylist()], size)
-                summary.add(sets)
+                found, hashed = _words_of([x or "" for x in part.column(1).to_pylist()])
+                sets = [np.unique(key) for key, _, _ in _shingles(found, hashed, size)]
+                words.add(hashed)
+                shingles.add(np.concatenate(sets))
                 keys = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 none = pa.nulls(len(sets), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(keys, pa.binary()), none, none,
+                        pa.array(keys, pa.binary()), pa.nulls(len(sets), pa.bool_()), none, none,
                     ], names
                 )
-        tokens, counts = summary.rows()
-        none = pa.nulls(len(tokens), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(len(tokens), pa.binary()), pa.array(tokens.view(np.int64)), pa.array(counts)], names
-        )
+        for word, summary in ((False, shingles), (True, words)):
+            tokens, counts = summary.rows()
+            none = pa.nulls(len(tokens), pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                none, none, none, pa.nulls(len(tokens), pa.binary()), pa.array([word] * len(tokens), pa.bool_()),
+                pa.array(tokens.view(np.int64)), pa.array(counts),
+            ], names)
 
     return written(docs.mapInArrow(run, _BASE), "sets")
 
 
-def _prefixes(docs: DataFrame, size: int, percent: int, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """key, set_key, n, first, matches and the prefix of every text that may link with others."""
-    frequent = docs.sparkSession.sparkContext.broadcast((tokens, counts))  # at most HEAVY rows
+def _heavy(base: DataFrame, word: bool, least: int) -> _Counts:
+    """The most frequent shingles or words of all texts; at most HEAVY rows come here."""
+    counted = base.where(F.col("word") == word).groupBy("token").agg(F.sum("count").alias("count"))
+    rows = counted.where(F.col("count") >= least).orderBy(F.desc("count"), "token").limit(HEAVY).collect()
+    return _Counts(
+        np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64), np.array([r["count"] for r in rows], dtype=np.int64)
+    )
+
+
+def _prefixes(docs: DataFrame, size: int, percent: int, order: _Order) -> DataFrame:
+    """key, set_key, n, first, matches, the prefix and the signature of every text that may link with others."""
+    frequent = docs.sparkSession.sparkContext.broadcast(order)  # HEAVY shingles and words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = _Order(*frequent.value)
+        order = frequent.value
         for batch in batches:
             for part in slices(batch):
                 keys = part.column(2).to_pylist()
                 rows = []
-                for row_key, own in zip(keys, shingle_sets([x or "" for x in part.column(1).to_pylist()], size)):
+                texts = [x or "" for x in part.column(1).to_pylist()]
+                for row_key, (own, often, steps) in zip(keys, order.sets(texts, size)):
                     if len(own) and not links_only_equals(len(own), percent):
-                        prefix, first, matches = order.prefix(own, percent)
+                        prefix, first, matches = order.prefix(own, often, steps, percent)
                         key = blake2b(own.tobytes(), digest_size=16).digest()
-                        rows.append((row_key, key, len(own), first, matches, prefix.view(np.int64)))
+                        rows.append((row_key, key, len(own), first, matches, prefix.view(np.int64), *signature(own).tolist()))
                 if rows:
                     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        ["key", "set_key", "n", "first", "matches", "prefix"],
-                    )
+                    kinds += [pa.int64()] * len(WORDS_OF_SIGNATURE)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return docs.mapInArrow(run, "key long, set_key binary, n long, first long, matches long, prefix array<long>")
+    names = ["key", "set_key", "n", "first", "matches", "prefix", *WORDS_OF_SIGNATURE]
+    schema = "key long, set_key binary, n long, first long, matches long, prefix array<long>"
+    return docs.mapInArrow(run, ", ".join([schema, *(f"{x} long" for x in WORDS_OF_SIGNATURE)]))
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
@@ -223,12 +284,23 @@ def _in_prefixes(percent: int):
     return (F.col("a_at") <= F.col("a_n") - _needed(percent)) & (F.col("b_at") <= F.col("b_n") - _needed(percent))
 
 
+def _signatures_allow(percent: int):
+    """Whether the signatures differ by no more bits than similar sets of the sizes do by shingles."""
+    bits = reduce(add, (F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in WORDS_OF_SIGNATURE))
+    return bits <= F.col("a_n") + F.col("b_n") - 2 * _needed(percent)
+
+
+def _with_both(pairs: DataFrame, prefixes: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b) with columns of both texts."""
+    for name in ("b", "a"):
+        pairs = pairs.join(prefixes.select(F.col("rid").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns)), name)
+    return pairs
+
+
 def _enough(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share l shingles in the first n - o + l of both prefixes, l the smaller of
     the numbers of matches they ask for."""
-    for name in ("b", "a"):
-        side = prefixes.select(*(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in ("rid", "n", "matches", "prefix")))
-        pairs = pairs.join(side, name)
+    pairs = _with_both(pairs, prefixes, ["n", "matches", "prefix"])
     asked = F.least("a_matches", "b_matches")
     heads = [F.slice(f"{x}_prefix", F.lit(1), F.greatest(F.col(f"{x}_n") - _needed(percent) + asked, F.lit(0)).cast("int")) for x in "ab"]
     return pairs.where(F.size(F.array_intersect(*heads)) >= asked).select("a", "b").distinct()
@@ -238,26 +310,28 @@ def _side(posts: DataFrame, name: str) -> DataFrame:
     return posts.select("token", *(F.col(c).alias(name if c == "rid" else f"{name}_{c}") for c in posts.columns if c != "token"))
 
 
-def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(posts: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Each text with the hubs of its shingles."""
     best = F.max(F.struct("shared", (-F.col("rid")).alias("low"), "n", "at")).alias("h")
     hubs = posts.groupBy("token").agg(best).select(
         "token", (-F.col("h.low")).alias("a"), F.col("h.n").alias("a_n"), F.col("h.at").alias("a_at")
     )
     texts = _side(posts.select("token", "rid", "n", "at"), "b")
-    return texts.join(hubs, "token").where((F.col("a") != F.col("b")) & _in_prefixes(percent)).select("a", "b").distinct()
+    pairs = texts.join(hubs, "token").where((F.col("a") != F.col("b")) & _in_prefixes(percent)).select("a", "b").distinct()
+    pairs = _with_both(pairs, prefixes, ["n", *WORDS_OF_SIGNATURE])
+    return written(pairs.where(_signatures_allow(percent)).select("a", "b"), "near")
 
 
-def _other_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _other_pairs(posts: DataFrame, prefixes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a shingle where similar sets do."""
     named = posts.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
         "token", "rid", "n", "at", F.coalesce("label", "rid").alias("comp")
     )
     named = written(named, "named")
     mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    named = named.join(mixed, "token")
+    named = named.join(mixed, "token").join(prefixes.select("rid", *WORDS_OF_SIGNATURE), "rid")
     return _side(named, "a").join(_side(named, "b"), "token").where(
-        (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & _in_prefixes(percent)
+        (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & _in_prefixes(percent) & _signatures_allow(percent)
     ).select("a", "b").distinct()
 
 
@@ -326,21 +400,17 @@ def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
     docs = _keyed(docs)
     base = _base(docs, size)
     rows = base.where(F.col("set_key").isNotNull()).select("doc_id", "key", "n", "set_key")
-    heavy = base.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count")).where(
-        F.col("count") >= OFTEN
-    ).orderBy(F.desc("count"), "token").limit(HEAVY).collect()
-    tokens = np.array([r["token"] for r in heavy], dtype=np.int64).view(np.uint64)
-    counts = np.array([r["count"] for r in heavy], dtype=np.int64)
+    order = _Order(_heavy(base, False, OFTEN), _heavy(base, True, 1))
     classes = rows.where("n > 0").groupBy("set_key").agg(_first()).select("set_key", "h.doc_id", "h.key")
     # Numbered as they are written: read again, a class keeps its number.
     classes = written(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
-    prefixes = _prefixes(docs, size, percent, tokens, counts).join(classes.select("set_key", "key", "rid"), ["set_key", "key"])
+    prefixes = _prefixes(docs, size, percent, order).join(classes.select("set_key", "key", "rid"), ["set_key", "key"])
     prefixes = written(prefixes.dropDuplicates(["set_key", "key"]).drop("set_key", "key"), "prefixes")
     posts = _postings(prefixes)
-    stars = _enough(_star_pairs(posts, percent), prefixes, percent)
+    stars = _enough(_star_pairs(posts, prefixes, percent), prefixes, percent)
     near = _verified(written(stars, "pairs"), docs, classes, size, percent)
     labels = components(near)
-    others = _enough(_other_pairs(posts, labels, percent), prefixes, percent)
+    others = _enough(_other_pairs(posts, prefixes, labels, percent), prefixes, percent)
     rest = _verified(written(others, "pairs"), docs, classes, size, percent)
     # Hub links stand for their components: a label is linked with its nodes.
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest))
@@ -362,11 +432,13 @@ def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
         F.max(first).alias("first"), F.count("*").alias("rows")
     ).where("not first or rows > 1")
     fate = written(fate, "fate")
-    rows = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    same = (F.col("_row") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    whole = rows.join(fate, same, "left_anti")
-    folded = rows.join(fate.where("first"), same, "left_semi").dropDuplicates(["doc_id", "_row"])
-    return whole.unionByName(folded).select(*docs.columns)
+    # The row goes in one piece, so no column of it can clash with the keys.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("held")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row"), whole)
+    same = (F.col("row") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
+    alone = rows.join(fate, same, "left_anti")
+    folded = rows.join(fate.where("first"), same, "left_semi").dropDuplicates(["id", "row"])
+    return alone.unionByName(folded).select("held.*")
 
 
 def op8_link_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

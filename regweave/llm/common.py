@@ -96,14 +96,35 @@ def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
     return left.join(right, on, how).drop(*(f"_{key}" for key in keys))
 
 
-def packed(docs: DataFrame, *others: str) -> DataFrame:
+#: Bits that mark hashes, whatever their number.
+MARKS = 1 << 24
+
+
+def marks_of(hashes: DataFrame) -> bytes:
+    """MARKS bits, those of the given hashes (a column of longs) set; 2 MB come to the driver."""
+    slot = F.col(hashes.columns[0]).bitwiseAND(MARKS - 1)
+    size = 32_768  # Fixed value: bits of what bitmap_construct_agg makes.
+    rows = hashes.select(F.floor(slot / size).alias("k"), (slot % size).alias("at")).groupBy("k").agg(
+        F.bitmap_construct_agg("at").alias("bits")
+    ).collect()
+    found = {r["k"]: bytes(r["bits"]) for r in rows}
+    return b"".join(found.get(k, b"").ljust(size // 8, b"\0") for k in range(MARKS // size))
+
+
+def packed(docs: DataFrame, *others: str, marks: bytes | None = None) -> DataFrame:
     """doc_id, text and other columns of every row as (doc_id, data, others): compressed UTF-8, null as empty.
-    For joins that move texts; the others are longs."""
+    For joins that move texts; the others are longs. With `marks`, only rows whose first other
+    column, a hash, is marked: all that a join asks for, and what shares their bits."""
     names = ["doc_id", "data", *others]
+    sent = docs.sparkSession.sparkContext.broadcast(marks)  # MARKS bits
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdCompressor(level=1)
+        bits = None if sent.value is None else np.frombuffer(sent.value, dtype=np.uint8)
         for batch in batches:
+            if bits is not None:
+                slot = batch.column(2).to_numpy(zero_copy_only=False) & (MARKS - 1)
+                batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
             for part in slices(batch):
                 data = [tool.compress(x.encode()) for x in texts_of(part)]
                 columns = [part.column(0), pa.array(data, pa.binary()), *part.columns[2:]]

@@ -24,7 +24,8 @@ How it stays linear where many texts are alike:
   whose signatures differ by more than similar sets can are dropped where they are drawn up:
   texts that share a shingle by chance make no rows.
 - Verification sends each text, compressed, to the hub it is compared with; a hub with many
-  texts is split over tasks, each of which gets the hub's text.
+  texts is split over tasks, each of which gets the hub's text. Texts compared with none stay
+  where they are, but for those that share a bit of a fixed bit map with one that moves.
 
 Frequencies only steer the order and l, never the result. They come from all texts: every
 task keeps a bounded summary of its most frequent shingles and words (those more frequent
@@ -53,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, parts, slices, table, unpacked, written
+from .common import marks_of, packed, parts, slices, table, unpacked, written
 from .components import components
 
 #: Shingles in a task's summary, and in the table of frequent ones.
@@ -351,7 +352,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     )
     texts = classes.select("rid", F.col("doc_id").alias("_id"), "key")
     to = written(members.unionByName(heads).join(texts, "rid"), "to")
-    sent = packed(docs, "key").join(to, "key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    sent = packed(docs, "key", marks=marks_of(to.select("key"))).join(to, "key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
     sent = sent.select("hub", "part", "late", "rid", "data")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

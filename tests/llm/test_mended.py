@@ -137,3 +137,16 @@ def test_passing_tables_go(spark, docs):
         assert spark.read.parquet(path).count() >= 0
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_marked_texts_are_all_that_is_asked_for(spark, docs):
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    wanted = keyed.where("doc_id % 3 = 0").select("key")
+    marks = common.marks_of(wanted)
+    assert len(marks) == common.MARKS // 8
+    keys = {r.key for r in wanted.collect()}
+    assert sum(bin(b).count("1") for b in marks) == len({k & (common.MARKS - 1) for k in keys})
+    got = common.packed(keyed, "key", marks=marks)
+    assert Counter(r.key for r in got.collect()) == Counter(r.key for r in keyed.collect() if r.key in keys)
+    assert common.packed(keyed, "key", marks=common.marks_of(wanted.limit(0))).count() == 0
+    assert common.packed(keyed, "key").count() == keyed.count()

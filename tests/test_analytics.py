@@ -199,6 +199,43 @@ def test_best_match_of_each_side(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_matches_list_no_pairs(spark, monkeypatch):
+    """A hundred million pairs in one place and quarter, counted and chosen without being listed."""
+    monkeypatch.delattr(funding, "candidates")
+    n = 10_000
+    needs = spark.range(n).selectExpr("id AS need", "1 AS place", "1000.0D + id / 64 AS amount", "date_add(DATE'2000-03-30', int(id % 7)) AS due")
+    lines = spark.range(n).selectExpr("id AS line", "1 AS place", "1000.0D + id / 64 AS amount", "DATE'2000-03-01' AS opens")
+    got = funding.match(needs, lines, "place", "2000-06-15").collect()
+    assert len(got) == n
+    assert all((r.candidates, r.line, r.excess, r.days_before, r.mutual) == (n - r.need, r.need, 0.0, 29 + r.need % 7, True) for r in got)
+
+
+def test_matches_of_repeated_rows_and_ids(spark):
+    rng = random.Random(15)
+
+    def rows(date_of):
+        amounts = [None, 0.0, 80.0, 100.0, 125.0, float("nan"), round(rng.uniform(70, 130), 1)]
+        return [(rng.choice([None, *range(150)]), rng.choice(["a", "a", "b", None]), rng.choice(amounts), rng.choice([None, date_of(), date_of()])) for _ in range(300)]
+
+    needs = spark.createDataFrame(rows(lambda: DAY + timedelta(rng.randint(0, 120))), "need long, place string, amount double, due date")
+    lines = spark.createDataFrame(rows(lambda: DAY + timedelta(rng.randint(-60, 120))), "line long, place string, amount double, opens date")
+    pairs = funding.candidates(needs, lines, "place").collect()
+    least = lambda r, other: (r.excess if r.excess == r.excess else math.inf, r.days_before, (r[other] is not None, r[other] or 0))
+    of_need, of_line = defaultdict(list), defaultdict(list)
+    for r in pairs:
+        of_need[r.need].append(least(r, "line"))
+        of_line[r.line].append(least(r, "need"))
+    got = funding.match(needs, lines, "place", "2000-06-15").collect()
+    assert len(got) == 300 and any(math.isnan(r.excess or 0) for r in got)
+    for r in got:
+        own = of_need[r.need] if r.need is not None else []
+        assert r.candidates == len(own)
+        if own:
+            best = min(own)
+            assert (r.days_before, r.line) == (best[1], best[2][1] if best[2][0] else None)
+            assert r.mutual == (r.line is not None and min(of_line[r.line])[2] == (True, r.need))
+
+
 # -- decisions --------------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ from regweave.functions.dates import bare_date, century_adjusted, has_text, pivo
 from regweave.functions.repair import REPLACEMENT
 from regweave.operators.clean import COUNTY, RAW_STATE, named
 from regweave.operators.integrity import key_profile, row_counts
-from regweave.operators.links import link_agreement
+from regweave.operators.links import link_agreement, mask_agreement
 from regweave.layers import Layers
 from regweave.registry import REGISTRY_KEY, SPECS, spec_names
 
@@ -451,8 +451,11 @@ def _key_jobs(layers: Layers, families: list[Family], *, apart: bool) -> list[Jo
     ]
 
 
-def measuring(layers: Layers, families: list[Family], *, apart: bool = False) -> list[Job]:
-    """Jobs that give all numbers the families need, as (key, n, sample) rows.
+def measuring(
+    layers: Layers, families: list[Family], *, apart: bool = False, without: tuple[str, ...] | None = None
+) -> list[Job]:
+    """Jobs that give all numbers the families need, as (key, n, sample) rows; given ``without``,
+    also those of the links that remain without some tables.
 
     ``apart`` gives every family and table a job of its own, so that none can
     spoil another's numbers; some of these are then given by several jobs.
@@ -462,18 +465,36 @@ def measuring(layers: Layers, families: list[Family], *, apart: bool = False) ->
     jobs += [(f.name, lambda f=f: f.frames(layers)) for f in families]
     jobs += _key_jobs(layers, families, apart=apart)
     if {type(f) for f in families} & {CrosswalkAgreement, SingleSourceLinks}:
-        jobs.append((CrosswalkAgreement.name, lambda: [unpivot(link_agreement(layers.built["crosswalk"]))]))
+        jobs.append((CrosswalkAgreement.name, lambda: [unpivot(_agreement(layers.built["crosswalk"], without))]))
     return jobs
 
 
-def _rendered(measured: DataFrame, lines: list[Line], *, gaps: bool = False) -> DataFrame:
-    """The lines over (key, n, sample) rows; with ``gaps`` a line without its number is an error."""
+#: what the measures of a report without some tables start with
+REST = "rest."
+
+
+def _agreement(links: DataFrame, without: tuple[str, ...] | None = None) -> DataFrame:
+    """The measures of a crosswalk, or of its masks, which cost no lists of names; of masks also
+    those without some tables."""
+    if "mask" not in links.columns:
+        return link_agreement(links)
+    return mask_agreement(links, {"": ()} if without is None else {"": (), REST: without})
+
+
+def _rendered(measured: DataFrame, lines: list[Line], *, gaps: bool = False, rest: bool = False) -> DataFrame:
+    """The lines over (key, n, sample) rows; with ``gaps`` a line without its number is an error,
+    with ``rest`` the numbers marked so stand in for the others of their name."""
     entry = F.struct("key", "n")
     sampled = F.when(F.col("sample").isNotNull(), F.struct("key", "sample"))
     facts = measured.agg(
         F.map_from_entries(F.collect_list(F.when(F.col("sample").isNull(), entry))).alias("numbers"),
         F.map_from_entries(F.collect_list(sampled)).alias("samples"),
     )
+    if rest:
+        marked = F.map_filter("numbers", lambda k, n: k.startswith(REST))
+        named = F.transform_keys(marked, lambda k, n: F.substring(k, F.lit(len(REST) + 1), F.length(k)))
+        kept = F.map_filter("numbers", lambda k, n: ~F.map_contains_key("numbers", F.concat(F.lit(REST), k)))
+        facts = facts.select(F.map_concat(kept, named).alias("numbers"), "samples")
     report = facts.select(F.inline(F.array(*[line.struct() for line in lines])))
     if gaps:
         lost = F.col("value").isNull()
@@ -486,18 +507,44 @@ def _rendered(measured: DataFrame, lines: list[Line], *, gaps: bool = False) ->
     return report.filter("emit").drop("emit")
 
 
-def fused_report(layers: Layers, families: list[Family]) -> DataFrame:
-    """The report as one lazy plan: scan, measure, render."""
+def _laid_out(layers: Layers, families: list[Family]) -> tuple[list[Family], list[Line]]:
+    """The families that can run and the lines of all."""
     able, lines = [], []
     for family in families:
         obstacle = family.obstacle(layers)
         if obstacle is None:
             able.append(family)
         lines += [obstacle] if obstacle else family.lines(layers)
-    frames = [frame for _, job in measuring(layers, able) for frame in job()]
+    return able, lines
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
     if not frames:
         frames = [SparkSession.getActiveSession().createDataFrame([], MEASURE_SCHEMA)]
-    return _rendered(reduce(DataFrame.unionByName, frames), lines)
+    return reduce(DataFrame.unionByName, frames)
+
+
+def fused_report(layers: Layers, families: list[Family]) -> DataFrame:
+    """The report as one lazy plan: scan, measure, render."""
+    able, lines = _laid_out(layers, families)
+    return _rendered(_united([frame for _, job in measuring(layers, able) for frame in job()]), lines)
+
+
+def reports_without(
+    layers: Layers, families: list[Family], withheld: tuple[str, ...]
+) -> tuple[DataFrame, DataFrame]:
+    """The report of all tables and the one without some, rendered from the same measures.
+
+    A table's numbers depend on no other but the facilities', so they stand in both reports; what the
+    crosswalk loses is told from its masks, which ``layers`` must hold as its crosswalk.
+    """
+    if "facility" in withheld:
+        raise ValueError("without facilities other tables' numbers change")
+    able, lines = _laid_out(layers, families)
+    rest = Layers({t: f for t, f in layers.raw.items() if t not in withheld}, layers.built)
+    _, fewer = _laid_out(rest, families)
+    measured = _united([frame for _, job in measuring(layers, able, without=withheld) for frame in job()])
+    return _rendered(measured, lines), _rendered(measured, fewer, rest=True)
 
 
 def apart_report(spark: SparkSession, layers: Layers, families: list[Family]) -> list[tuple]:

@@ -1,7 +1,7 @@
 """The quality report keeps its shape whatever it is given."""
 
 from regweave.layers import Layers
-from regweave.operators import quality
+from regweave.operators import links, quality
 from regweave.registry import spec_names
 
 
@@ -103,3 +103,26 @@ def test_many_dates_share_one_scan(spark):
     assert lines["dates.program.CREATE_DATE.century_adjusted"].value == "1"
     assert lines["dates.program.UPDATE_DATE.unparseable"].status == "warn"
     assert "dates.program.UPDATE_DATE.century_adjusted" not in lines
+
+
+def test_two_reports_share_their_measures(spark):
+    keys = "REGISTRY_ID string, PGM_SYS_ACRNM string, PGM_SYS_ID string"
+    raw = {
+        "facility": spark.createDataFrame(
+            [("1", "A:x, B:y", "ZZ"), ("1", "A:x", "OH"), ("2", None, "OH")], "REGISTRY_ID string, PGM_SYS_ACRNMS string, STATE_CODE string"),
+        "program": spark.createDataFrame([("1", "A", "x"), ("3", "C", "z"), (None, "C", "z")], keys),
+        "contact": spark.createDataFrame([("1", "B", "y"), ("9", "D", "w"), ("9", "D", "w"), ("2", "C", None)], keys),
+    }
+
+    def masks(tables):
+        return links.link_masks(links.tagged_union(Layers(tables).link_inputs()))
+
+    checks = list(quality.ALL_CHECKS)
+    both = quality.reports_without(Layers(raw, {"crosswalk": masks(raw)}), checks, ("contact",))
+    rest = {t: f for t, f in raw.items() if t != "contact"}
+    for tables, got in zip((raw, rest), both):
+        listed = quality.fused_report(Layers(tables, {"crosswalk": links.crosswalk(Layers(tables).link_inputs())}), checks)
+        assert names(got) == names(listed)
+    whole, fewer = map(names, both)
+    assert whole["crosswalk.single_source_links"].value == "2 / 4" and fewer["crosswalk.single_source_links"].value == "2 / 3"
+    assert "orphans.contact" in whole and "orphans.contact" not in fewer

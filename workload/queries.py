@@ -265,10 +265,14 @@ def marker_chars(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-def _report(spark, sf_dir, without=()):
-    raw = {n: f for n, f in raw_tables(spark, sf_dir).items() if n not in without}
-    links = lk.crosswalk(Layers(raw).link_inputs())
-    return quality.fused_report(Layers(raw, {"crosswalk": links}), list(quality.ALL_CHECKS))
+def _measurable(spark, sf_dir) -> Layers:
+    """Raw tables with the masks of their links: a report counts sources and lists none."""
+    raw = raw_tables(spark, sf_dir)
+    return Layers(raw, {"crosswalk": lk.link_masks(lk.tagged_union(Layers(raw).link_inputs()))})
+
+
+def _report(spark, sf_dir):
+    return quality.fused_report(_measurable(spark, sf_dir), list(quality.ALL_CHECKS))
 
 
 def qa_report(spark, sf_dir):
@@ -304,7 +308,8 @@ def link_difference(spark, sf_dir):
 
 
 def privacy_report_diff(spark, sf_dir):
-    return report_diff(_report(spark, sf_dir), _report(spark, sf_dir, PERSONAL_TABLES))
+    """The report of all tables against the one without the personal tables."""
+    return report_diff(*quality.reports_without(_measurable(spark, sf_dir), list(quality.ALL_CHECKS), tuple(PERSONAL_TABLES)))
 
 
 QUERIES: dict[str, Query] = {

@@ -40,12 +40,13 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import packed, parts, slices, slide, table, unpacked, written
-from .suffix_array import DEPTH, repeated_places
+from .suffix_array import DEPTH, repeated_starts
 
 GRAM = 32
 #: Gram starts in a string of DEPTH bytes.
@@ -225,44 +226,46 @@ def _thinned(pieces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return found, rows.where(few).drop("kinds"), rows.where(~few).drop("kinds")
 
 
-def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
-    """What strings of DEPTH bytes at the given starts (ascending) cover."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > DEPTH)
-    first, last = starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])]
-    return list(zip(first.tolist(), (last + DEPTH).tolist()))
-
-
 def _sort_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats in the contexts of whole homes, as (g, c, spans relative to the anchor)."""
     held, size, home = [], 0, None
 
     def close() -> pa.RecordBatch:
-        number = {key: k for k, key in enumerate({r[1] for r in held})}
-        hits = repeated_places([r[3] for r in held], [(number[r[1]], r[2]) for r in held])
-        rows = []
-        for (_, _, first, data, members), hit in zip(held, hits):
-            for m in members:
-                if m["n"] > 1:  # known to be repeated as a whole
-                    continue
-                at = m["at"] - first
-                a, b = max(0, at - STARTS + 1), min(at, len(data) - DEPTH) + 1
-                if spans := _spans(np.flatnonzero(hit[a:b]) + a - at):
-                    rows.append((m["g"], m["c"], [x for x, _ in spans], [y for _, y in spans]))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        columns = zip(*rows) if rows else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["g", "c", "lo", "hi"])
+        rows = pa.Table.from_batches(held).combine_chunks()
+        key, first = (rows.column(x).to_numpy() for x in ("key", "first"))
+        strings = rows.column("bytes").to_pylist()
+        starts, begins = repeated_starts(strings, key, first)
+        of = np.repeat(np.arange(len(strings)), pa.compute.list_value_length(rows.column("members")).to_numpy())
+        at, g, c, n = (x.to_numpy() for x in rows.column("members").combine_chunks().flatten().flatten())
+        # The strings of a context begin within fewer than DEPTH bytes, so what they cover is one span.
+        base, at = begins[of], at - first[of]
+        a = base + np.maximum(at - STARTS + 1, 0)
+        b = base + np.minimum(at, np.diff(begins, append=begins[-1] + len(strings[-1]) + 1)[of] - 1 - DEPTH) + 1
+        low, high = np.searchsorted(starts, a), np.searchsorted(starts, b)
+        # Contexts that occur more than once are known to be repeated as a whole.
+        some = np.flatnonzero((low < high) & (n < 2))
+        low, high, zero = low[some], high[some], (base + at)[some]
+        ends = pa.array(np.arange(len(some) + 1, dtype=np.int32))
+        spans = [pa.ListArray.from_arrays(ends, pa.array(x - zero)) for x in (starts[low], starts[high - 1] + DEPTH)]
+        return pa.RecordBatch.from_arrays([pa.array(g[some]), pa.array(c[some]), *spans], ["g", "c", "lo", "hi"])
 
-    for whole in batches:
-        for batch in parts(whole):
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                if row[0] != home and size >= BATCH_BYTES:
-                    yield close()
-                    held, size = [], 0
-                home = row[0]
-                held.append(row)
-                size += len(row[3])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        homes = batch.column(0).to_numpy()
+        upto = np.cumsum(pa.compute.binary_length(batch.column(3)).to_numpy(), dtype=np.int64).tolist()
+        opens = np.flatnonzero(np.diff(homes)) + 1
+        begin, cut = 0, 0
+        for k in opens.tolist() if homes[0] == home else [0, *opens.tolist()]:
+            before = upto[k - 1] if k else 0
+            if size + before - cut >= BATCH_BYTES:
+                if k:
+                    held.append(batch.slice(begin, k - begin))
+                yield close()
+                held, size, begin, cut = [], 0, k, before
+        held.append(batch.slice(begin))
+        size += upto[-1] - cut
+        home = homes[-1]
     if held:
         yield close()
 

@@ -25,14 +25,20 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return view.astype(np.uint64)
 
 
+def strings_at(data: np.ndarray, kind: str) -> np.ndarray:
+    """For each position the next DEPTH bytes, as items of a type of that size; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(DEPTH, dtype=np.uint8)])
+    return np.ndarray((len(data),), dtype=kind, buffer=padded, strides=(1,))
+
+
 def smaller_than_next(data: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the one a byte on; those that equal bytes to the end are told so too."""
-    n = len(data)
-    small = np.ones(n, dtype=bool)
-    differs = np.flatnonzero(data[:-1] != data[1:])
+    small = np.ones(len(data), dtype=bool)
+    differ = data[:-1] != data[1:]
+    differs = np.flatnonzero(differ)
     if len(differs):
         # A run of equal bytes goes by the byte after it.
-        at = np.searchsorted(differs, np.arange(n))
+        at = np.concatenate([[0], np.cumsum(differ)])
         inside = at < len(differs)
         end = differs[at[inside]]
         small[inside] = data[end] < data[end + 1]
@@ -42,20 +48,24 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
 def _sort_directly(data: np.ndarray, words: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
     """Suffixes in order of their first DEPTH bytes: by eight bytes, then ties by the rest."""
     key = words[suffixes]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     out, key = suffixes[order], key[order]
     tied = np.flatnonzero(key[1:] == key[:-1])
     if len(tied):
-        first = tied[np.concatenate([[True], np.diff(tied) > 1])]
-        last = tied[np.concatenate([np.diff(tied) > 1, [True]])] + 2
+        cut = np.diff(tied) > 1
+        first = tied[np.concatenate([[True], cut])]
+        last = tied[np.concatenate([cut, [True]])] + 2
+        among = np.zeros(len(key), dtype=bool)
+        among[tied] = among[tied + 1] = True
+        among = np.flatnonzero(among)
         # Whole runs of ties, about TIES suffixes at a time, compared as strings.
-        padded = np.concatenate([data, np.zeros(DEPTH, dtype=np.uint8)])
-        strings = np.lib.stride_tricks.sliding_window_view(padded, DEPTH)
-        cuts = np.flatnonzero(np.diff(np.cumsum(last - first) // TIES, prepend=-1))
-        for a, b in zip(cuts, [*cuts[1:], len(first)]):
-            at = np.concatenate([np.arange(x, y) for x, y in zip(first[a:b], last[a:b])])
+        strings = strings_at(data, f"S{DEPTH}")
+        ends = np.cumsum(last - first)
+        cuts = np.flatnonzero(np.diff(ends // TIES, append=-1))
+        for a, b in zip([0, *ends[cuts].tolist()], ends[cuts].tolist()):
+            at = among[a:b]
             own = out[at]
-            out[at] = own[np.argsort(np.ascontiguousarray(strings[own]).view(f"S{DEPTH}").ravel(), kind="stable")]
+            out[at] = own[np.argsort(strings[own], kind="stable")]
     return out
 
 
@@ -94,42 +104,52 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Bytes, in steps of eight, that each suffix in order shares with the one before; at most DEPTH."""
+def equal_to_last(data: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Whether each suffix in order shares its first DEPTH bytes with the one before."""
+    same = np.zeros(len(order), dtype=bool)
     words = words_at(data)
-    shared = np.zeros(len(order), dtype=np.int64)
-    open_ = np.arange(1, len(order))
-    for k in range(0, DEPTH, 8):
-        a, b = np.minimum(order[open_] + k, len(words) - 1), np.minimum(order[open_ - 1] + k, len(words) - 1)
-        open_ = open_[words[a] == words[b]]
-        if not len(open_):
-            break
-        shared[open_] = k + 8
-    return shared
-
-
-def repeated_places(strings: list[bytes], at: list[tuple[int, int]]) -> list[np.ndarray]:
-    """For each string, where a run of DEPTH bytes begins that lies within a string and begins at
-    another place too. `at` tells the text a string comes from and where it begins there; one
-    place of a text may be in several strings and counts once."""
-    # A zero byte parts the strings. Should it match a text's own, the run isn't whole.
+    # Most of those that differ do so in their last eight bytes.
+    end = words[np.minimum(order + DEPTH - 8, len(words) - 1)]
+    open_ = np.flatnonzero(end[1:] == end[:-1]) + 1
+    strings = strings_at(data, f"V{DEPTH}")
+    for k in range(0, len(open_), TIES // 8):
+        at = open_[k:k + TIES // 8]
+        a, b = (strings[order[x]].view(np.uint64).reshape(-1, DEPTH // 8) for x in (at, at - 1))
+        same[at] = (a == b).all(axis=1)
+    return same
+
+
+def repeated_starts(strings: list[bytes], texts: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a run of DEPTH bytes begins that lies within a string and begins at another place too,
+    ascending, and where the strings begin; in all strings joined with a byte after each. A string
+    comes from a text and begins there at its first; one place of a text may be in several strings
+    and counts once."""
+    # A zero byte parts the strings; runs that hold it are left out.
     data = np.frombuffer(b"".join(s + b"\0" for s in strings), dtype=np.uint8)
     lengths = np.array([len(s) + 1 for s in strings], dtype=np.int64)
-    ends = np.cumsum(lengths)
-    left = np.repeat(ends - 1, lengths) - np.arange(len(data))
+    begins = np.cumsum(lengths) - lengths
+    whole = np.repeat(begins + lengths - 1, lengths) - np.arange(len(data)) >= DEPTH
     order = suffix_array(data)
-    run = np.cumsum(common_prefixes(data, order) < DEPTH)
-    whole = left[order] >= DEPTH
-    order, run = order[whole], run[whole]
-    many = np.bincount(run)[run] > 1 if len(run) else whole[:0]
-    order, run = order[many], run[many]
-    hit = np.zeros(len(data), dtype=bool)
-    if len(order):
-        of = np.searchsorted(ends, order, side="right")
-        text, first = np.array(at, dtype=np.int64).T
-        place = first[of] + order - (ends - lengths)[of]
-        by = np.lexsort((place, text[of], run))
-        new = np.ones(len(by), dtype=bool)
-        new[1:] = (np.diff(run[by]) != 0) | (np.diff(text[of][by]) != 0) | (np.diff(place[by]) != 0)
-        hit[order[(np.bincount(run[by][new], minlength=int(run.max()) + 1) > 1)[run]]] = True
-    return [hit[b - n:b - 1] for b, n in zip(ends.tolist(), lengths.tolist())]
+    order = order[whole[order]]
+    same = equal_to_last(data, order)
+    many = same.copy()
+    many[:-1] |= same[1:]
+    order, new = order[many], np.flatnonzero(~same[many])
+    if not len(order):
+        return order, begins
+    # Places of all texts, one text after another.
+    _, text = np.unique(texts, return_inverse=True)
+    shift = text * (int(firsts.max()) + len(data)) + firsts - begins
+    place = order + np.repeat(shift, lengths)[order]
+    twice = np.minimum.reduceat(place, new) != np.maximum.reduceat(place, new)
+    return np.sort(order[np.repeat(twice, np.diff(new, append=len(order)))]), begins
+
+
+def repeated_places(strings: list[bytes], at: list[tuple[int, int]]) -> list[np.ndarray]:
+    """For each string, where a run of DEPTH bytes begins that is repeated (see repeated_starts).
+    `at` tells the text a string comes from and where it begins there."""
+    texts, firsts = np.array(at, dtype=np.int64).reshape(-1, 2).T
+    starts, begins = repeated_starts(strings, texts, firsts)
+    hit = np.zeros(sum(len(s) + 1 for s in strings), dtype=bool)
+    hit[starts] = True
+    return [hit[b:b + len(s)] for b, s in zip(begins.tolist(), strings)]

@@ -1,17 +1,20 @@
 """Whole queries on the awkward table, and the limits that cut work into pieces."""
 
+import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from regweave.llm import chat, common, fingerprints, jaccard_join, mixing, sharding, token_counts
+from regweave.llm import chat, common, fingerprints, jaccard_join, mixing, sharding, substrings, token_counts
 
 
 @pytest.mark.parametrize("size", [1, 2_000, 1 << 28])
@@ -150,3 +153,56 @@ def test_marked_texts_are_all_that_is_asked_for(spark, docs):
     assert Counter(r.key for r in got.collect()) == Counter(r.key for r in keyed.collect() if r.key in keys)
     assert common.packed(keyed, "key", marks=common.marks_of(wanted.limit(0))).count() == 0
     assert common.packed(keyed, "key").count() == keyed.count()
+
+
+def test_repeats_of_homes_are_those_of_all_strings():
+    rng = random.Random(3)
+    passage = bytes(rng.choices(b"ab ", k=700))
+    texts = [bytes(rng.choices(b"ab ", k=300)) + passage[k:] + b"\0" * (k % 3) for k in range(0, 700, 25)] + [b"x" * 450, b"xy", b""]
+    strings = Counter(t[k:k + 200] for t in texts for k in range(len(t) - 199))
+    # Contexts around every tenth byte; of each text, one stretch with all of them.
+    members = [[{"at": p + 5, "g": k, "c": p, "n": 1 + (p == 40)} for p in range(0, len(t) - 32, 10)] for k, t in enumerate(texts)]
+    rows = [(k // 4, k, 5, t, m) for k, (t, m) in enumerate(zip(texts, members)) if m]
+    kinds = [*substrings._SENT_KINDS[:5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), kinds)], substrings._SENT[:5])
+    want = {}
+    for k, t in enumerate(texts):
+        for p in range(0, len(t) - 32, 10):
+            hit = [q for q in range(max(0, p - 168), min(p, len(t) - 200) + 1) if strings[t[q:q + 200]] > 1]
+            if hit and p != 40:
+                want[k, p] = ([hit[0] - p], [hit[-1] + 200 - p])
+    calls = Counter()
+
+    def count(frame, event, arg):
+        calls[event] += 1
+
+    sys.setprofile(count)
+    try:
+        got = list(substrings._sort_homes(iter([batch.slice(0, 9), batch.slice(9, 0), batch.slice(9)])))
+    finally:
+        sys.setprofile(None)
+    assert {(r["g"], r["c"]): (r["lo"], r["hi"]) for b in got for r in b.to_pylist()} == want
+    # Contexts are worked on together: calls don't go with their number.
+    many = [(0, 0, 0, passage, [{"at": 100 + k % 300, "g": k, "c": k, "n": 1} for k in range(20_000)])]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*many), kinds)], substrings._SENT[:5])
+    calls.clear()
+    sys.setprofile(count)
+    try:
+        assert sum(b.num_rows for b in substrings._sort_homes(iter([batch]))) == 0
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 10_000
+
+
+def test_homes_are_sorted_whole(monkeypatch):
+    rng = random.Random(4)
+    same = bytes(rng.choices(b"abcd", k=250))
+    rows = [(home, home * 10 + k, 0, same + bytes(rng.choices(b"efgh", k=30)), [{"at": 20, "g": home, "c": home * 10 + k, "n": 1}]) for home in range(7) for k in range(2 + home % 3)]
+    kinds = [*substrings._SENT_KINDS[:5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows), kinds)], substrings._SENT[:5])
+    for size in (1, 400, 900, 1 << 20):
+        monkeypatch.setattr(substrings, "BATCH_BYTES", size)
+        for step in (1, 2, 5, 100):
+            cut = [batch.slice(k, step) for k in range(0, batch.num_rows, step)]
+            got = [r for b in substrings._sort_homes(iter(cut)) for r in b.to_pylist()]
+            assert sorted(r["c"] for r in got) == [r[1] for r in rows]

@@ -11,33 +11,55 @@ nothing is kept, or the table is empty, there are no sequences.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from regweave.llm import jaccard_join, mixing, packing, pii, quality
-from regweave.llm.common import delete, passing_tables, scratch, table
+from regweave.llm.common import delete, passing_tables, scratch, small_batches, table
 from regweave.llm.tokens import added_tokens
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with Python tasks that get few rows at a time."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@in_small_batches
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
     return quality.keep_good(docs)
 
 
+@in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similar to 0.8)."""
     return jaccard_join.keep_one(docs)
 
 
+@in_small_batches
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind."""
     return pii.mask(docs)
 
 
+@in_small_batches
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The parts of documents that the mix of sources takes, a row each time."""
     return mixing.mixed(docs)
 
 
+@in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the mixed parts."""
     return packing.pack(docs, added=added_tokens())

@@ -63,6 +63,19 @@ def written(df: DataFrame, name: str, *, partition_by: str | None = None) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that Spark hands a Python task at a time.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on, the session's Python tasks get batches of BATCH_BYTES, unless it has a size of
+    its own. By Spark's usual 10,000 rows or 64 MB, a batch and the copies made of it on its way
+    take a good part of a small executor. Results don't depend on it."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) is None:
+        spark.conf.set(size, str(BATCH_BYTES))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; a null text has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import marks_of, packed, parts, slices, table, unpacked, written
+from .common import marks_of, packed, parts, slices, small_batches, table, unpacked, written
 from .components import components
 
 #: Shingles in a task's summary, and in the table of frequent ones.
@@ -398,6 +398,7 @@ def join(docs: DataFrame, *, size: int = 3, percent: int = 90) -> DataFrame:
     `key` tells rows of one id apart; `head` is the key of the component's first row, whose id
     is component_id.
     """
+    small_batches(docs.sparkSession)
     docs = _keyed(docs)
     base = _base(docs, size)
     rows = base.where(F.col("set_key").isNotNull()).select("doc_id", "key", "n", "set_key")

@@ -21,8 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Ids a task remembers before it starts anew (about 32 MB).
-MEMORY_IDS = 8_000_000
+#: Ids and pieces a task remembers before it starts anew (4 bytes each id, about 200 each piece).
+MEMORY_IDS, MEMORY_PIECES = 8_000_000, 250_000
 _UNEVEN = re.compile(r"\s ")
 _END = "  "  # no piece holds a space but for a leading one
 
@@ -85,7 +85,7 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) one after another, and where each text's begin (one more at the end)."""
-        if len(self._pieces.flat) > MEMORY_IDS:
+        if len(self._pieces.flat) > MEMORY_IDS or len(self._pieces) > MEMORY_PIECES:
             self._pieces = _Pieces(self._encode, self._end_id)
         known = self._pieces
         codes, counts = [], []

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from regweave.llm import chat, common, fingerprints, jaccard_join, mixing, sharding, substrings, token_counts
+from regweave.llm import chat, common, fingerprints, jaccard_join, mixing, sharding, substrings, token_counts, tokens
 
 
 @pytest.mark.parametrize("size", [1, 2_000, 1 << 28])
@@ -206,3 +206,39 @@ def test_homes_are_sorted_whole(monkeypatch):
             cut = [batch.slice(k, step) for k in range(0, batch.num_rows, step)]
             got = [r for b in substrings._sort_homes(iter(cut)) for r in b.to_pylist()]
             assert sorted(r["c"] for r in got) == [r[1] for r in rows]
+
+
+def test_python_tasks_get_batches_of_few_bytes(spark, docs):
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size, None)
+    rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x y "), 2_500).alias("text"))
+
+    def most():
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+        return max(r.n for r in rows.mapInArrow(run, "n long").collect())
+
+    try:
+        for stage in (lambda: jaccard_join.join(docs), lambda: corpus_pipeline.keep_good(spark, docs, "")):
+            spark.conf.unset(size)
+            assert most() > 4 * common.BATCH_BYTES
+            stage()
+            assert most() < 2 * common.BATCH_BYTES
+        spark.conf.set(size, "1234567")  # a session's own size stays
+        corpus_pipeline.keep_good(spark, docs, "")
+        assert spark.conf.get(size).rstrip("b") == "1234567"
+    finally:
+        spark.conf.unset(size) if before is None else spark.conf.set(size, before)
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY_PIECES", 500)
+    texts = [[f"n{k}x{j} and {j}z{k}" for j in range(100)] for k in range(20)]
+    few = tokens.Encoder(tokens.default_vocabulary(), 0)
+    for part in texts:
+        ids, bounds = few.batch(part)
+        want, where = tokens.Encoder(tokens.default_vocabulary(), 0).batch(part)
+        assert ids.tolist() == want.tolist() and bounds.tolist() == where.tolist()
+        assert len(few._pieces) <= 500 + 300

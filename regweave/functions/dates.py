@@ -12,6 +12,7 @@ ADJUSTED_YEARS = (1950, 1968)
 _EDGE_BLANKS = " \t\n\x0b\f\r"
 _SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{1,2}\z"
 _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+_MONTH_NUMBERS = "01-02-03-04-05-06-07-08-09-10-11-12-"  # each where its month stands
 
 
 def bare_date(c: Column) -> Column:
@@ -24,16 +25,16 @@ def pivot_date(bare: Column) -> Column:
 
     Text of the right shape is respelled with its century as an ISO date, and a
     cast checks the calendar. Unlike a format parser the cast raises nothing
-    inside and knows no time zone; the clock is never read either.
+    inside and knows no time zone; the clock is never read either. The shape decides
+    over the century alone: no part stands in a branch, so those used twice are worked out once.
     """
     dash = F.instr(bare, "-")
     day = F.substring(bare, F.lit(1), dash - 1)
     month_at = F.instr(F.lit(_MONTHS), F.upper(F.substring(bare, dash + 1, F.lit(3))))
-    month = F.when(month_at % 3 == 1, ((month_at + 2) / 3).cast("int"))
+    month = F.when(month_at % 3 == 1, F.substring(F.lit(_MONTH_NUMBERS), month_at, F.lit(3)))
     year = F.lpad(F.substring(bare, dash + 5, F.lit(2)), 2, "0")
     century = F.when(year < FIRST_OLD_YEAR, "20").otherwise("19")
-    iso = F.concat(century, year, F.lit("-"), month.cast("string"), F.lit("-"), day)
-    return F.when(bare.rlike(_SHAPE), iso).try_cast("date")
+    return F.concat(F.when(bare.rlike(_SHAPE), century), year, F.lit("-"), month, day).try_cast("date")
 
 
 def has_text(c: Column) -> Column:

@@ -2,8 +2,8 @@
 
 Each check family names the aggregates it needs of each table and the report
 lines they become. A run merges the aggregates of all families, so a relation is
-scanned once for these; the fold of all keys, the sample of states and the links scan
-the tables again, each by itself. The few hundred
+scanned once for these; the fold of all keys, the texts of dates, the sample of states and
+the links scan the tables again, each by itself. The few hundred
 numbers that come out form one row, from which the lines are rendered. A family whose
 input is absent leaves a line that says so; a table that breaks costs its own lines.
 """
@@ -108,8 +108,8 @@ class Family:
         """Per relation, named aggregates over its facts."""
         return {}
 
-    def frames(self, layers: Layers) -> list[DataFrame]:
-        """Measures that are no plain aggregate: (key, n, sample) rows."""
+    def frames(self, layers: Layers) -> list[Callable[[], DataFrame]]:
+        """Measures that are no plain aggregate, each by itself: (key, n, sample) rows."""
         return []
 
     def lines(self, layers: Layers) -> list[Line]:
@@ -184,24 +184,40 @@ class Dates(Family):
                     if c in layers.raw[t].columns:
                         yield t, c
 
-    def facts(self, layers):
-        out: dict[str, dict[str, Column]] = {}
+    def frames(self, layers):
+        columns: dict[str, list[str]] = {}
         for t, c in self._columns(layers):
-            out.setdefault(f"raw_{t}", {}).update({
-                f"has_{c}": has_text(named(c)),
-                f"day_{c}": pivot_date(bare_date(named(c))),
-            })
-        return out
+            columns.setdefault(t, []).append(c)
+        return [lambda t=t, cs=cs: self._measured(layers.raw[t], t, cs) for t, cs in columns.items()]
 
-    def counts(self, layers):
-        out: dict[str, dict[str, Column]] = {}
-        for t, c in self._columns(layers):
-            day = F.col(f"day_{c}")
-            out.setdefault(f"raw_{t}", {f"total.{t}": F.count("*")}).update({
-                f"bad.{t}.{c}": F.count_if(F.col(f"has_{c}") & day.isNull()),
-                f"adjusted.{t}.{c}": F.count_if(century_adjusted(day)),
-            })
-        return out
+    @staticmethod
+    def _measured(raw: DataFrame, t: str, columns: list[str]) -> DataFrame:
+        """What a table's date columns read as, in one scan.
+
+        Rows fold to the distinct texts of each column before a text is read: a hundred years
+        have 36,525 days, so few are left of any number of rows. Texts that name no day fold by
+        their spelling; if all of them differ, each is still read once.
+        """
+        names = [f"text{i}" for i in range(len(columns))]
+        texts = raw.select(*[named(c).alias(n) for c, n in zip(columns, names)])
+        folded = texts.groupingSets([[n] for n in names], *names).agg(
+            F.grouping_id().alias("column"), F.count("*").alias("n"))
+        # A row holds the text of its own column only.
+        bare = folded.select("column", "n", F.coalesce(*names).alias("text")).select(
+            "column", "n", has_text(F.col("text")).alias("has"), bare_date(F.col("text")).alias("bare"))
+        read = bare.select("column", "n", "has", pivot_date(F.col("bare")).alias("day"))
+
+        def total(condition: Column) -> Column:
+            return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+        # A bit of the grouping id is set for each column left out, the first column's highest.
+        of = [F.col("column") == (1 << len(names)) - 1 - (1 << len(names) - 1 - i) for i in range(len(names))]
+        day = F.col("day")
+        measures = {f"total.{t}": total(of[0])}
+        for c, its_own in zip(columns, of):
+            measures[f"bad.{t}.{c}"] = total(its_own & F.col("has") & day.isNull())
+            measures[f"adjusted.{t}.{c}"] = total(its_own & century_adjusted(day))
+        return unpivot(read.agg(*[m.alias(key) for key, m in measures.items()]))
 
     def lines(self, layers):
         out = []
@@ -219,16 +235,25 @@ def out_of_domain(state: Column, raw_state: Column) -> Column:
     return state.isNull() & raw_state.isNotNull()
 
 
-def top_values(frame: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataFrame:
+def _counted(frame: DataFrame, column: str, where: Column) -> DataFrame:
+    """How often each value occurs among the rows asked for.
+
+    Those rows are told inside the aggregate: a filter in front of it would be pushed below
+    the rules the frame was made with, which then stand once for each use in one method, more
+    than the JIT compiles.
+    """
+    return frame.groupBy(F.col(column).alias("key")).agg(F.count_if(where).alias("n")).filter("n > 0")
+
+
+def top_values(frame: DataFrame, column: str, where: Column, limit: int = SAMPLE_SIZE) -> DataFrame:
     """The most frequent values, ties in value order."""
-    counts = frame.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "key").limit(limit)
+    return _counted(frame, column, where).orderBy(F.desc("n"), "key").limit(limit)
 
 
-def top_values_of_all(frame: DataFrame, column: str, limit: int = SAMPLE_SIZE) -> DataFrame:
-    """The most frequent values and, first and marked, the number of all rows; from one shuffle."""
-    counts = frame.rollup(F.col(column).alias("key")).agg(
-        F.count("*").alias("n"), (F.grouping_id() == 1).alias("whole")
+def top_values_of_all(frame: DataFrame, column: str, where: Column, limit: int = SAMPLE_SIZE) -> DataFrame:
+    """The most frequent values and, first and marked, the number of all rows; from one scan."""
+    counts = _counted(frame, column, where).rollup("key").agg(
+        F.sum("n").alias("n"), (F.grouping_id() == 1).alias("whole")
     )
     return counts.orderBy(F.desc("whole"), F.desc("n"), "key").limit(limit + 1)
 
@@ -257,7 +282,7 @@ class StateCodes(Family):
     def frames(self, layers):
         bad = out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE))
         facility = layers.clean("facility", "STATE_CODE", RAW_STATE)
-        return [as_sample("state.bad", top_values(facility.filter(bad), RAW_STATE))]
+        return [lambda: as_sample("state.bad", top_values(facility, RAW_STATE, bad))]
 
     def lines(self, layers):
         detail = sql_text("codes outside the postal domain, NULL once normalised")
@@ -462,7 +487,7 @@ def measuring(
     """
     groups = [[f] for f in families] if apart or not families else [families]
     jobs = [job for group in groups for job in _fact_jobs(layers, group)]
-    jobs += [(f.name, lambda f=f: f.frames(layers)) for f in families]
+    jobs += [(f.name, lambda frame=frame: [frame()]) for f in families for frame in f.frames(layers)]
     jobs += _key_jobs(layers, families, apart=apart)
     if {type(f) for f in families} & {CrosswalkAgreement, SingleSourceLinks}:
         jobs.append((CrosswalkAgreement.name, lambda: [unpivot(_agreement(layers.built["crosswalk"], without))]))

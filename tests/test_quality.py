@@ -105,6 +105,40 @@ def test_many_dates_share_one_scan(spark):
     assert "dates.program.UPDATE_DATE.century_adjusted" not in lines
 
 
+def test_dates_are_read_once_for_each_text(spark):
+    rows = [("01-JAN-60", "x"), ("01-JAN-60", None), (" 01-JAN-60", ""), (None, "x"), ("29-feb-01", "01-JAN-60"), ("  ", "\t")] * 3
+    frame = quality.Dates()(Layers({"program": spark.createDataFrame(rows, "CREATE_DATE string, UPDATE_DATE string")}))
+    shown = frame._jdf.queryExecution().executedPlan().toString()
+    above, below = shown.split("Expand")
+    assert "RLIKE" in above and "RLIKE" not in below and "HashAggregate" in above
+    lines = names(frame)
+    assert {n: r.value for n, r in lines.items()} == {
+        "dates.program.CREATE_DATE.unparseable": "3", "dates.program.CREATE_DATE.century_adjusted": "9",
+        "dates.program.UPDATE_DATE.unparseable": "9", "dates.program.UPDATE_DATE.century_adjusted": "3"}
+    assert lines["dates.program.CREATE_DATE.unparseable"].detail == "of 18 rows; read as NULL"
+
+
+def test_dates_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "START_DATE string")
+    line, = quality.Dates()(Layers({"contact": empty})).collect()
+    assert (line.value, line.status, line.detail) == ("0", "ok", "of 0 rows; read as NULL")
+
+
+def test_states_are_told_inside_the_fold(spark):
+    raw = spark.createDataFrame([(" zz",), ("ZZ",), ("OH",), ("q",), (" ",), (None,)], "s string")
+    facility = raw.selectExpr("CASE s WHEN 'q' THEN 'Q  9' ELSE s END AS STATE_CODE")
+    sample, = (frame() for frame in quality.StateCodes().frames(Layers({"facility": facility})))
+    assert [tuple(x) for x in sample.first().sample] == [("ZZ", 2), ("Q 9", 1)]
+    # A filter below the fold would hold the rules once for each use.
+    below = sample._jdf.queryExecution().executedPlan().toString().split("HashAggregate")[-1]
+    assert "Filter" not in below
+    clean = Layers({"facility": facility}).clean("facility")
+    bad = quality.out_of_domain(clean["STATE_CODE"], clean["STATE_CODE_RAW"])
+    got = quality.top_values_of_all(clean, "STATE_CODE_RAW", bad).collect()
+    assert [tuple(r) for r in got] == [(None, 3, True), ("ZZ", 2, False), ("Q 9", 1, False)]
+    assert quality.top_values_of_all(clean.filter("STATE_CODE = 'OH'"), "STATE_CODE_RAW", bad).count() == 0
+
+
 def test_two_reports_share_their_measures(spark):
     keys = "REGISTRY_ID string, PGM_SYS_ACRNM string, PGM_SYS_ID string"
     raw = {

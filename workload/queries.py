@@ -233,9 +233,8 @@ def date_quality(spark, sf_dir):
 
 
 def state_out_of_domain(spark, sf_dir):
-    facility = clean_facility(spark, sf_dir)
-    bad = facility.filter(quality.out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE)))
-    return quality.top_values_of_all(bad, RAW_STATE)
+    bad = quality.out_of_domain(F.col("STATE_CODE"), F.col(RAW_STATE))
+    return quality.top_values_of_all(clean_facility(spark, sf_dir), RAW_STATE, bad)
 
 
 def fips_shapes(spark, sf_dir):

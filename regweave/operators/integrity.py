@@ -41,10 +41,11 @@ def key_profile(
     tagged = [
         frames[n].select(F.col(key).alias("k"), F.lit(i).alias("t")) for i, n in enumerate(names)
     ]
+    # Not count_if: its tests are worked out below the union, so each row would carry all of them.
     per_key = (
         reduce(DataFrame.unionByName, tagged)
         .groupBy("k")
-        .agg(*[F.count_if(F.col("t") == i).alias(f"n{i}") for i in range(len(names))])
+        .agg(*[F.count(F.when(F.col("t") == i, 1)).alias(f"n{i}") for i in range(len(names))])
     )
     measures = {}
     for i, name in enumerate(names):

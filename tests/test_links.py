@@ -97,6 +97,12 @@ def test_one_program_is_filtered_at_the_scan(spark, built):
     assert "LeftAnti" in shown and shown.count("ReadSchema: struct<REGISTRY_ID:string>") == 2
 
 
+def test_key_profile_sends_keys_and_tags_to_the_fold(spark):
+    frames = {t: spark.range(3).selectExpr("cast(id AS string) AS REGISTRY_ID") for t in ("facility", "sic", "naics")}
+    below = plan(integrity.key_profile(frames)).split("Union")[1]
+    assert "_common_expr" not in below and "AS t#" in below
+
+
 def test_key_profile_agrees_with_joins(spark):
     facility = spark.createDataFrame([("1",), ("1",), ("2",), (None,), (None,)], "REGISTRY_ID string")
     child = spark.createDataFrame([("1",), ("3",), ("3",), (None,)], "REGISTRY_ID string")
